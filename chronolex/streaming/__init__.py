@@ -1,0 +1 @@
+"""No streaming operator: every capability covered here is a batch over year partitions."""
