@@ -86,3 +86,18 @@ def prob_ecdf(
 def raw_head(predictions: DataFrame, order_cols: list[str], n: int = 500) -> DataFrame:
     """First rows in a total order, for display."""
     return predictions.orderBy(*order_cols).limit(n)
+
+
+def refresh_views(predictions: DataFrame, metrics: DataFrame, base_path: str) -> dict[str, str]:
+    """Write every summary below `base_path`, replacing earlier ones; returns name -> path."""
+    views = {
+        "year_summary": year_summary(predictions),
+        "confidence_heatmap": confidence_heatmap(predictions),
+        "prob_histogram": prob_histogram(predictions),
+        "prob_ecdf": prob_ecdf(predictions),
+        "drift_over_time": drift_over_time(metrics),
+    }
+    paths = {name: f"{base_path}/{name}" for name in views}
+    for name, view in views.items():
+        view.write.mode("overwrite").parquet(paths[name])
+    return paths

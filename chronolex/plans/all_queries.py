@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from chronolex.plans import text_queries  # noqa: F401
+from chronolex.plans import drift_queries, summary_queries, text_queries  # noqa: F401
 from chronolex.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
