@@ -245,6 +245,15 @@ def text_length_stats(df: DataFrame, column: str = "text") -> DataFrame:
     )
 
 
+def text_bounds(df: DataFrame, group_cols: list[str], column: str = "text") -> DataFrame:
+    """Rows outside the raw text length bounds, per group."""
+    rule = EXPECTATIONS["raw"]
+    outside = ~F.length(column).between(rule["min_chars"], rule["max_chars"])
+    return df.groupBy(*group_cols).agg(
+        F.count("*").alias("rows"), F.count_if(outside).alias("out_of_bounds")
+    )
+
+
 def label_imbalance(df: DataFrame, limit: float = EXPECTATIONS["processed"]["imbalance_ratio"]) -> DataFrame:
     """Largest over smallest class of the non-null labels, flagged above `limit`."""
     counts = df.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count("*").alias("n"))

@@ -1,6 +1,13 @@
 """Importing this module registers every query."""
 
-from chronolex.plans import drift_queries, summary_queries, text_queries  # noqa: F401
+from chronolex.plans import (  # noqa: F401
+    contract_queries,
+    drift_queries,
+    model_queries,
+    summary_queries,
+    term_queries,
+    text_queries,
+)
 from chronolex.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
