@@ -124,7 +124,8 @@ def tune(
     builder = ParamGridBuilder()
     for param, values in (grid or GRIDS[name]).items():
         builder = builder.addGrid(estimator.getParam(param), values)
-    fold = F.least(F.floor(group_fraction(seed) * folds), F.lit(folds - 1)).cast("int")
+    # A hash of its own: the split's hash would leave the last fold short of training groups.
+    fold = F.least(F.floor(group_fraction(f"fold-{seed}") * folds), F.lit(folds - 1)).cast("int")
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=builder.build(),

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from chronolex import schema
 from chronolex.functions import text as T
 from chronolex.operators.running import SINGLE_TASK_ROWS, running_sums
+from chronolex.operators.skew import join_lookup
 from chronolex.sources.articles import label_metadata
 
 ISSUE_YEAR = ["series", "issue", "year"]
@@ -19,15 +20,14 @@ def label_articles(
 ) -> DataFrame:
     """Articles with metadata, label and year, joined on `series`.
 
-    `metadata` has one row per series and label. With `train_labels` only those labels stay (the
-    training years); without, every labelled article does. The join has no hint: Spark broadcasts
-    the metadata when its measured size is under the threshold, and otherwise merges with adaptive
-    skew splitting, so a series with a third of the articles does not end up in one task.
+    `metadata` has one row per series. With `train_labels` only those labels stay (the training
+    years); without, every labelled article does. The metadata is broadcast when its measured size
+    allows; otherwise series with many articles are salted. Runs actions.
     """
     labels = metadata
     if train_labels is not None:
         labels = labels.filter(F.col("label").isin(train_labels))
-    return with_year(articles.join(labels, "series", "inner"))
+    return with_year(join_lookup(articles, labels, ["series"], "inner"))
 
 
 def ingest(
@@ -37,7 +37,7 @@ def ingest(
     labels: dict[str, float] | None = None,
     train_labels: list[float] | None = None,
 ) -> DataFrame:
-    """Raw articles and raw metadata to labelled articles."""
+    """Raw articles and raw metadata to labelled articles. Runs actions."""
     return label_articles(articles, label_metadata(metadata, delimiter, labels), train_labels)
 
 

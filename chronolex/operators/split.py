@@ -2,12 +2,13 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronolex.operators.skew import join_even
+from chronolex.operators.skew import join_lookup
+from chronolex.sources.scratch import materialize
 
 GROUP = ["series", "issue"]
 
 
-def group_fraction(seed: int, group_cols: list[str] = GROUP) -> Column:
+def group_fraction(seed: int | str, group_cols: list[str] = GROUP) -> Column:
     """A number in [0, 1) that depends on the seed and the group only, not on the partitioning."""
     digest = F.md5(F.concat_ws("/", F.lit(str(seed)), *group_cols))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
@@ -34,13 +35,21 @@ def group_split(
 def split_by_membership(
     df: DataFrame, train_groups: DataFrame, group_cols: list[str] = GROUP
 ) -> tuple[DataFrame, DataFrame]:
-    """Split by a given table of training groups instead of the hash."""
-    groups = train_groups.select(*group_cols).distinct()
-    return join_even(df, groups, group_cols, "left_semi"), join_even(df, groups, group_cols, "left_anti")
+    """Split by a given table of training groups instead of the hash. Runs actions."""
+    groups = materialize(train_groups.select(*group_cols).distinct(), "train-groups")
+    return join_lookup(df, groups, group_cols, "left_semi"), join_lookup(df, groups, group_cols, "left_anti")
 
 
 def drop_shared_text(test: DataFrame, train: DataFrame, text_col: str = "text") -> DataFrame:
-    """Test rows whose exact text does not occur in the training rows."""
+    """Test rows whose exact text does not occur in the training rows.
+
+    Only distinct hashes meet, so copies collapse before the shuffle; the texts stay where they are
+    unless the shared hashes are too many to broadcast. Runs actions.
+    """
+
+    def hashes(df: DataFrame) -> DataFrame:
+        return df.select(F.md5(text_col).alias("_hash")).distinct()
+
+    shared = materialize(hashes(test).join(hashes(train), "_hash", "left_semi"), "shared-text")
     hashed = test.withColumn("_hash", F.md5(text_col))
-    seen = train.select(F.md5(text_col).alias("_hash")).distinct()
-    return join_even(hashed, seen, ["_hash"], "left_anti").drop("_hash")
+    return join_lookup(hashed, shared, ["_hash"], "left_anti").drop("_hash")

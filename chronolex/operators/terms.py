@@ -4,7 +4,8 @@ from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chronolex.functions.text import WORD_CLASS
-from chronolex.operators.skew import hot_keys, join_apart
+from chronolex.operators.skew import join_even
+from chronolex.sources.scratch import materialize
 
 MIN_DOC_FREQ = 5
 VOCABULARY_SIZE = 50_000
@@ -69,13 +70,14 @@ def tfidf_terms(
 ) -> DataFrame:
     """TF-IDF of every (document, term); `key` identifies a document.
 
-    Very frequent terms meet their document frequency by broadcast, all others by shuffle, so a
-    term that occurs in a third of all documents does not fill one task.
+    Document frequencies are written once; frequent terms are salted in the join, so a term that
+    occurs in a third of all documents does not fill one task. Runs actions.
     """
-    tf = term_counts(df, [key], words_col)
-    frequencies = tf.groupBy("term").agg(F.count("*").alias("df"))
+    present = df.select(F.explode(F.array_distinct(words_col)).alias("term"))
+    frequencies = materialize(present.groupBy("term").agg(F.count("*").alias("df")), "document-frequencies")
     n = df.select(F.count("*")).scalar()
-    joined = join_apart(tf, frequencies, ["term"], hot_keys(frequencies, ["term"], "df"), "inner")
+    tf = term_counts(df, [key], words_col)
+    joined = join_even(tf, frequencies, ["term"], "inner", key_counts=frequencies)
     return joined.withColumn("tfidf", F.col("tf") * _idf(n, F.col("df"), min_doc_freq))
 
 

@@ -3,7 +3,7 @@
 Each binding exists twice: as a DataFrame and as the SQL text of a common table expression.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SEPARATOR = "\n"
 MIN_WORDS = 5
@@ -14,18 +14,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _article_date() -> Column:
     doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return F.make_date(
+        F.expr("CAST(1869 + (doc_id DIV 20) % 6 AS INT)"), (1 + doc % 12).cast("int"), (1 + doc % 28).cast("int")
+    )
+
+
+def _article_columns() -> list[Column]:
+    return [
         F.col("source").alias("series"),
         F.expr("CAST(doc_id DIV 240 AS STRING)").alias("issue"),
-        F.make_date(
-            F.expr("CAST(1869 + (doc_id DIV 20) % 6 AS INT)"),
-            (1 + doc % 12).cast("int"),
-            (1 + doc % 28).cast("int"),
-        ).alias("date"),
-        "text",
-        doc.alias("article_id"),
+        _article_date().alias("date"),
+        F.col("text"),
+        F.col("doc_id").alias("article_id"),
+    ]
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(*_article_columns())
+
+
+def english_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their year and a learnable label: 1 marks English."""
+    return table(spark, sf_dir, "documents").select(
+        *_article_columns(),
+        F.year(_article_date()).alias("year"),
+        F.when(F.col("lang") == "en", 1.0).otherwise(0.0).alias("label"),
     )
 
 

@@ -163,11 +163,7 @@ def select_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed paragraphs of all years; label 1 marks English (learnable, unlike a series label)."""
-    languages = B.table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("article_id"), F.when(F.col("lang") == "en", 1.0).otherwise(0.0).alias("label")
-    )
-    articles = P.with_year(B.articles(spark, sf_dir)).join(languages, "article_id")
-    rows = P.transform(articles, B.SEPARATOR, min_para_words=B.MIN_WORDS)
+    rows = P.transform(B.english_articles(spark, sf_dir), B.SEPARATOR, min_para_words=B.MIN_WORDS)
     return rows.select("series", "issue", "year", "paragraph_id", "text", "cleaned_paragraph", "label")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolex.functions import text as T
-from chronolex.operators import paragraphs as P, split as SP, terms as TM
+from chronolex.operators import split as SP, terms as TM
 from chronolex.plans import bindings as B
 from chronolex.plans.catalog import query, rounded, with_ctes
 from chronolex.plans.text_queries import cleaned_sql, english_stopwords, sql_list
@@ -14,11 +14,8 @@ VOCABULARY = 1000
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with their cleaned words; label 1 marks English."""
-    languages = B.table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("article_id"), F.when(F.col("lang") == "en", 1.0).otherwise(0.0).alias("label")
-    )
-    cleaned = P.with_year(B.articles(spark, sf_dir)).withColumn("cleaned_paragraph", T.clean_text(F.col("text")))
-    return TM.tokenize(cleaned.drop("text").join(languages, "article_id"))
+    articles = B.english_articles(spark, sf_dir)
+    return TM.tokenize(articles.withColumn("cleaned_paragraph", T.clean_text(F.col("text"))).drop("text"))
 
 
 def words_cte() -> str:

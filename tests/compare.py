@@ -78,7 +78,7 @@ def main(sf_dir: str, names: list[str]) -> None:
             df = queries[name](spark, sf_dir)
             if name in oracles:
                 result = difference(df, connection, oracles[name])
-                result = f"ok {len(df.columns)} columns" if result is None else f"DIFFERS {result}"
+                result = f"ok {df.count()} rows" if result is None else f"DIFFERS {result}"
             else:
                 result = f"rows {len(df.collect())}"
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
