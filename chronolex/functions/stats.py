@@ -63,8 +63,9 @@ def wilson_interval(successes: Column, n: Column, z: float = Z_95) -> tuple[Colu
     denominator = 1 + F.lit(z2) / size
     centre = (p + F.lit(z2) / (2 * size)) / denominator
     spread = F.lit(z) * F.sqrt(p * (1 - p) / size + F.lit(z2) / (4 * size * size)) / denominator
-    low = F.coalesce(F.greatest(F.lit(0.0), centre - spread), F.lit(0.0))
-    high = F.coalesce(F.least(F.lit(1.0), centre + spread), F.lit(0.0))
+    # greatest and least skip NULL, so the empty case is taken out first.
+    low = F.when(size.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), centre - spread))
+    high = F.when(size.isNull(), 0.0).otherwise(F.least(F.lit(1.0), centre + spread))
     return low, high
 
 
