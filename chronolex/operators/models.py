@@ -117,7 +117,12 @@ def candidate_versions(
 
 
 def tune(
-    name: str, train: DataFrame, grid: dict[str, list] | None = None, folds: int = 3, seed: int = 0
+    name: str,
+    train: DataFrame,
+    grid: dict[str, list] | None = None,
+    folds: int = 3,
+    seed: int = 0,
+    parallelism: int = 2,
 ) -> CrossValidatorModel:
     """Grid search with folds that keep each (series, issue) together. Runs actions."""
     estimator = build_model(name)
@@ -132,6 +137,7 @@ def tune(
         evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="f1"),
         numFolds=folds,
         foldCol="fold",
+        parallelism=parallelism,
     )
     return search.fit(training_rows(train).withColumn("fold", fold))
 

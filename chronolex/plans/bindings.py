@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents; a file with fewer splits than cores is spread, larger inputs keep their splits."""
+    df = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
+
+
 def _article_date() -> Column:
     doc = F.col("doc_id")
     return F.make_date(
@@ -32,12 +39,12 @@ def _article_columns() -> list[Column]:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(*_article_columns())
+    return documents(spark, sf_dir).select(*_article_columns())
 
 
 def english_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with their year and a learnable label: 1 marks English."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         *_article_columns(),
         F.year(_article_date()).alias("year"),
         F.when(F.col("lang") == "en", 1.0).otherwise(0.0).alias("label"),

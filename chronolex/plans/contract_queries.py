@@ -100,6 +100,17 @@ PREDICTIONS = check_sql(
         ("prob_republican_out_of_range", "warning", "count_if(prob_republican NOT BETWEEN 0 AND 1)", None, 0),
     ],
 )
+FEATURES = check_sql(
+    "features",
+    "sums",
+    [
+        ("missing_columns", "error", "0 * count(*)", None, 0),
+        ("row_count", "warning", "count(*)", MINIMUM, None),
+        *_nulls(["series", "issue", "year", "paragraph_id"]),
+        ("null_features", "warning", "count(*) - count(weight)", None, 0),
+        ("empty_vectors", "warning", "count_if(nonzero < 1)", None, 0),
+    ],
+)
 DRIFT = check_sql(
     "drift_metrics",
     "data_rows",
@@ -144,9 +155,10 @@ def contract_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction_report(spark, sf_dir)
 
 
-@query("contract_features")
+@query("contract_features", lambda: with_ctes(*M.feature_ctes(M.TRAIN_YEAR), select=FEATURES))
 def contract_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.stage_report(M.feature_rows(spark, sf_dir), "features", MINIMUM)
+    features = spark.read.parquet(M.vocabulary_features(spark, sf_dir))
+    return C.stage_report(features, "features", MINIMUM)
 
 
 @query(

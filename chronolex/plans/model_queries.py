@@ -8,6 +8,7 @@ from chronolex.functions.vectors import nonzero_count, stored_values
 from chronolex.operators import evaluation as E, features as FT, models as MD, paragraphs as P, registry as R, split as SP
 from chronolex.plans import bindings as B
 from chronolex.plans.catalog import query, rounded, with_ctes
+from chronolex.plans.text_queries import LINES, NUMBERED, cleaned_sql, english_stopwords, sql_list
 from chronolex.sources import scratch, tables
 
 NUM_FEATURES = 16_384
@@ -33,6 +34,15 @@ curve AS (
     sum(pos) OVER (PARTITION BY class) AS all_pos, sum(neg) OVER (PARTITION BY class) AS all_neg
   FROM steps WINDOW w AS (PARTITION BY class ORDER BY score DESC))"""
 
+POINTS = """points AS (
+  SELECT *, tp / all_pos AS tpr, fp / all_neg AS fpr, tp / (tp + fp) AS prec,
+    lag(tp / all_pos, 1, 0) OVER w AS tpr0, lag(fp / all_neg, 1, 0) OVER w AS fpr0,
+    coalesce(lag(tp / (tp + fp)) OVER w, tp / (tp + fp)) AS prec0
+  FROM curve WINDOW w AS (PARTITION BY class ORDER BY score DESC))"""
+AREAS = """areas AS (
+  SELECT class, sum((fpr - fpr0) * (tpr + tpr0) / 2) AS "areaUnderROC", sum((tpr - tpr0) * (prec + prec0) / 2) AS "areaUnderPR"
+  FROM points GROUP BY class)"""
+
 
 def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.confusion_matrix(B.eval_scores(spark, sf_dir))
@@ -102,12 +112,8 @@ def pr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     "auc_metrics",
     with_ctes(
         B.EVAL_SCORES, CURVE,
-        """points AS (SELECT *, tp / all_pos AS tpr, fp / all_neg AS fpr, tp / (tp + fp) AS prec,
-            lag(tp / all_pos, 1, 0) OVER w AS tpr0, lag(fp / all_neg, 1, 0) OVER w AS fpr0,
-            coalesce(lag(tp / (tp + fp)) OVER w, tp / (tp + fp)) AS prec0
-          FROM curve WINDOW w AS (PARTITION BY class ORDER BY score DESC))""",
-        select="""SELECT class, round(sum((fpr - fpr0) * (tpr + tpr0) / 2), 6) AS "areaUnderROC",
-          round(sum((tpr - tpr0) * (prec + prec0) / 2), 6) AS "areaUnderPR" FROM points GROUP BY class""",
+        POINTS, AREAS,
+        select="""SELECT class, round("areaUnderROC", 6) AS "areaUnderROC", round("areaUnderPR", 6) AS "areaUnderPR" FROM areas""",
     ),
 )
 def auc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +165,74 @@ def select_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- features, training, scoring -----------------------------------------------------------------
+# Vocabulary features and Naive Bayes are plain sums, so SQL can follow them from text to score.
+
+KEY = "series, issue, year, paragraph_id"
+
+
+def feature_ctes(fit_years: str) -> tuple[str, ...]:
+    """Processed paragraphs and their TF-IDF in long form, fitted on the rows where `fit_years`."""
+    columns = f"{KEY}, lang"
+    lines = LINES.replace("FROM articles", "FROM texts").replace("article_id, CAST", "article_id, lang, CAST")
+    stop = sql_list(english_stopwords())
+    return (
+        B.ARTICLES,
+        "texts AS (SELECT a.*, d.lang FROM articles a JOIN documents d ON d.doc_id = a.article_id)",
+        lines,
+        NUMBERED,
+        f"cleaned AS ({cleaned_sql('numbered', columns)})",
+        f"""docs AS (SELECT {KEY}, CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+            CASE WHEN ('0x' || substr(md5('0/' || series || '/' || issue), 1, 8))::UBIGINT / 4294967296.0 < 0.8
+              THEN 'train' ELSE 'test' END AS split,
+            list_filter(regexp_split_to_array(cleaned, '[^\\p{{L}}\\p{{N}}_]'),
+              lambda t: t <> '' AND NOT list_contains({stop}, t)) AS words
+          FROM cleaned WHERE len(string_split(cleaned, ' ')) > {B.MIN_WORDS})""",
+        f"""long AS (SELECT {KEY}, label, split, term, count(*) AS tf
+          FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL)""",
+        f"vocab AS (SELECT term, count(*) AS df FROM long WHERE {fit_years} GROUP BY term HAVING count(*) >= 5)",
+        f"fitted AS (SELECT count(*) AS n FROM docs WHERE {fit_years})",
+        "vec AS (SELECT l.*, tf * ln((n + 1) / (df + 1)) AS x FROM long l JOIN vocab USING (term), fitted)",
+        f"""sums AS (SELECT {KEY}, label, split, count(x) FILTER (x <> 0) AS nonzero, coalesce(sum(x), 0) AS weight
+          FROM docs LEFT JOIN vec USING ({KEY}, label, split) GROUP BY ALL)""",
+    )
+
+
+TRAIN_YEAR = f"year = {schema.REFERENCE_YEAR}"
+BAYES = (
+    f"train AS (SELECT * FROM docs WHERE {TRAIN_YEAR} AND split = 'train')",
+    "pi AS (SELECT label AS class, ln(count(*) + 1) - ln((SELECT count(*) FROM train) + 2) AS pi FROM train GROUP BY label)",
+    f"""totals AS (SELECT p.class, v.term, coalesce(sum(x), 0) AS s FROM pi p CROSS JOIN vocab v
+      LEFT JOIN vec ON vec.term = v.term AND vec.label = p.class AND {TRAIN_YEAR} AND split = 'train' GROUP BY ALL)""",
+    """theta AS (SELECT class, term, ln(s + 1) - ln(sum(s) OVER (PARTITION BY class) + count(*) OVER (PARTITION BY class)) AS theta
+      FROM totals)""",
+    f"""raw AS (SELECT d.series, d.issue, d.year, d.paragraph_id, d.label, d.split, p.class,
+        any_value(p.pi) + coalesce(sum(x * theta), 0) AS raw
+      FROM docs d CROSS JOIN pi p LEFT JOIN vec v ON v.series = d.series AND v.issue = d.issue AND v.year = d.year
+        AND v.paragraph_id = d.paragraph_id LEFT JOIN theta t ON t.class = p.class AND t.term = v.term GROUP BY ALL)""",
+    f"""bayes AS (SELECT {KEY}, label, split, round(max(raw) FILTER (class = 1) - max(raw) FILTER (class = 0), 9) AS score
+      FROM raw GROUP BY ALL)""",
+    f"""scored_rows AS (SELECT {KEY}, label, split, CASE WHEN score > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS pred_label,
+        round(1 / (1 + exp(least(score, 700))), 6) AS prob_democrat, round(1 / (1 + exp(least(-score, 700))), 6) AS prob_republican
+      FROM bayes)""",
+)
+PREDICTED = f"SELECT {KEY}, label, pred_label, prob_democrat, prob_republican FROM scored_rows"
+
+
+def bayes_metrics(select: str) -> str:
+    """Metrics of Naive Bayes on the test rows, from the same SQL as the evaluation queries."""
+    tests = f"""eval_scores AS (SELECT label, score, CASE WHEN score > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+      FROM bayes WHERE {TRAIN_YEAR} AND split = 'test')"""
+    overall = """overall AS (SELECT sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1,
+      sum(precision * support) / sum(support) AS "weightedPrecision", sum(recall * support) / sum(support) AS "weightedRecall",
+      avg(f1) AS "macroF1" FROM scored)"""
+    tall = f"""tall AS (
+      SELECT metric_name, metric_value FROM (UNPIVOT overall ON accuracy, f1, "weightedPrecision", "weightedRecall", "macroF1"
+        INTO NAME metric_name VALUE metric_value)
+      UNION ALL SELECT metric_name, metric_value FROM (UNPIVOT areas ON "areaUnderROC", "areaUnderPR"
+        INTO NAME metric_name VALUE metric_value) WHERE class = 1)"""
+    return with_ctes(
+        *feature_ctes(TRAIN_YEAR), *BAYES, tests, MATRIX, CLASSES, CURVE, POINTS, AREAS, overall, tall, select=select
+    )
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,19 +247,23 @@ def stored_processed(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stored_features(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Feature store with the training year and all later years; and the saved feature stages."""
+def stored_features(spark: SparkSession, sf_dir: str, **options) -> str:
+    """Feature store of all years, with stages fitted on the training year, saved and loaded again."""
     store, stages = scratch.fresh_path(spark, "features"), scratch.fresh_path(spark, "stages")
     path = stored_processed(spark, sf_dir)
     train = tables.read_year(spark, path, schema.REFERENCE_YEAR)
-    FT.store_training_features(train, store, stages, num_features=NUM_FEATURES)
+    FT.store_training_features(train, store, stages, **options)
     later = spark.read.parquet(path).filter(F.col("year") != schema.REFERENCE_YEAR)
     FT.store_inference_features(later, store, stages)
-    return store, stages
+    return store
+
 
+def vocabulary_features(spark: SparkSession, sf_dir: str) -> str:
+    return stored_features(spark, sf_dir, vectorizer="count_idf")
 
-def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(stored_features(spark, sf_dir)[0])
+
+def hashed_features(spark: SparkSession, sf_dir: str) -> str:
+    return stored_features(spark, sf_dir, num_features=NUM_FEATURES)
 
 
 def readable(features: DataFrame) -> DataFrame:
@@ -193,46 +271,99 @@ def readable(features: DataFrame) -> DataFrame:
     values = stored_values(F.col("features"))
     return features.select(
         "series", "issue", "year", "paragraph_id", "label",
-        nonzero_count(F.col("features")).alias("nonzero"),
+        nonzero_count(F.col("features")).cast("long").alias("nonzero"),
         F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6).alias("weight"),
     )
 
 
-def split_training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return SP.group_split(tables.read_year(spark, stored_features(spark, sf_dir)[0], schema.REFERENCE_YEAR))
+READABLE = f"SELECT {KEY}, label, nonzero, round(weight, 6) AS weight FROM sums"
+
+
+@query("feature_store_train", lambda: with_ctes(*feature_ctes(TRAIN_YEAR), select=f"{READABLE} WHERE {TRAIN_YEAR}"))
+def feature_store_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = scratch.fresh_path(spark, "features")
+    train = tables.read_year(spark, stored_processed(spark, sf_dir), schema.REFERENCE_YEAR)
+    FT.store_training_features(train, store, vectorizer="count_idf")
+    return readable(tables.read_year(spark, store, schema.REFERENCE_YEAR))
+
+
+@query("feature_store_infer", lambda: with_ctes(*feature_ctes(TRAIN_YEAR), select=f"{READABLE} WHERE NOT {TRAIN_YEAR}"))
+def feature_store_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = spark.read.parquet(vocabulary_features(spark, sf_dir))
+    return readable(features.filter(F.col("year") != schema.REFERENCE_YEAR))
+
+
+@query("feature_model_roundtrip", lambda: with_ctes(*feature_ctes("true"), select=READABLE))
+def feature_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages fitted on all years, saved, loaded and applied."""
+    rows = spark.read.parquet(stored_processed(spark, sf_dir))
+    path = scratch.fresh_path(spark, "stages")
+    tables.save_feature_model(FT.fit_features(rows, vectorizer="count_idf"), path)
+    return readable(FT.apply_features(tables.load_feature_model(path), rows))
+
+
+@query("tfidf_features")
+def tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default, hashed vectors."""
+    rows = spark.read.parquet(stored_processed(spark, sf_dir))
+    return readable(FT.apply_features(FT.fit_features(rows, num_features=NUM_FEATURES), rows))
+
+
+def split_training(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
+    return SP.group_split(tables.read_year(spark, store, schema.REFERENCE_YEAR))
+
+
+def _train(spark: SparkSession, store: str, names: list[str] | None = None) -> DataFrame:
+    metrics = MD.train_all(*split_training(spark, store), names)[1]
+    return rounded(metrics.drop("run_id"), "metric_value")
+
 
+@query(
+    "train_nb",
+    lambda: bayes_metrics(
+        "SELECT 'naive_bayes' AS model_name, metric_name, round(metric_value, 6) AS metric_value FROM tall"
+    ),
+)
+def train_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, vocabulary_features(spark, sf_dir), ["naive_bayes"])
 
-def _train_one(name: str):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        train, test = split_training(spark, sf_dir)
-        return MD.train_all(train, test, [name])[1].drop("run_id")
 
-    return run
+@query("train_lr")
+def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, hashed_features(spark, sf_dir), ["logistic_regression"])
 
 
-query("train_lr")(_train_one("logistic_regression"))
-query("train_nb")(_train_one("naive_bayes"))
-query("train_svc")(_train_one("linear_svc"))
+@query("train_svc")
+def train_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, hashed_features(spark, sf_dir), ["linear_svc"])
 
 
 @query("train_all_models")
 def train_all_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split_training(spark, sf_dir)
-    return MD.train_all(train, test)[1]
+    return _train(spark, hashed_features(spark, sf_dir))
 
 
-@query("run_log")
+@query(
+    "run_log",
+    lambda: bayes_metrics(
+        """SELECT 'naive_bayes' AS model_name, 'features' AS feature_table, 'v1' AS feature_version, 'v1' AS data_version,
+          '1.0' AS smoothing, metric_name, round(metric_value, 6) AS metric_value FROM tall"""
+    ),
+)
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run rows beside their metrics."""
-    train, test = split_training(spark, sf_dir)
-    _, metrics, runs = MD.train_all(train, test, ["naive_bayes"])
-    return runs.join(metrics.drop("model_name"), "run_id").withColumn("params", F.to_json("params"))
+    """Run rows beside their metrics, without the random run id."""
+    _, metrics, runs = MD.train_all(*split_training(spark, vocabulary_features(spark, sf_dir)), ["naive_bayes"])
+    joined = runs.join(metrics.drop("model_name"), "run_id")
+    return rounded(joined, "metric_value").select(
+        "model_name", "feature_table", "feature_version", "data_version",
+        F.col("params")["smoothing"].alias("smoothing"), "metric_name", "metric_value",
+    )
 
 
 @query("tune_nb")
 def tune_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated F1 of every grid point, from folds that keep issues together."""
-    train, _ = split_training(spark, sf_dir)
+    train, _ = split_training(spark, hashed_features(spark, sf_dir))
     search = MD.tune("naive_bayes", train)
     points = [
         (float(list(params.values())[0]), float(f1))
@@ -241,67 +372,50 @@ def tune_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(points, "smoothing double, f1 double")
 
 
-@query("tfidf_features")
-def tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(stored_processed(spark, sf_dir))
-    return readable(FT.apply_features(FT.fit_features(rows, num_features=NUM_FEATURES), rows))
-
-
-@query("feature_store_train")
-def feature_store_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = scratch.fresh_path(spark, "features")
-    train = tables.read_year(spark, stored_processed(spark, sf_dir), schema.REFERENCE_YEAR)
-    FT.store_training_features(train, store, num_features=NUM_FEATURES)
-    return readable(tables.read_year(spark, store, schema.REFERENCE_YEAR))
-
-
-@query("feature_store_infer")
-def feature_store_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readable(feature_rows(spark, sf_dir).filter(F.col("year") != schema.REFERENCE_YEAR))
-
-
-@query("feature_model_roundtrip")
-def feature_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vocabulary stages saved and loaded again; the idf of every vocabulary term."""
-    rows = spark.read.parquet(stored_processed(spark, sf_dir))
-    path = scratch.fresh_path(spark, "stages")
-    tables.save_feature_model(FT.fit_features(rows, vectorizer="count_idf"), path)
-    loaded = tables.load_feature_model(path)
-    return readable(FT.apply_features(loaded, rows))
-
-
-def _scored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _scored(spark: SparkSession, store: str, name: str) -> DataFrame:
     """Train on the training year, register and promote, then score every year with Production."""
-    store, _ = stored_features(spark, sf_dir)
-    train, test = SP.group_split(tables.read_year(spark, store, schema.REFERENCE_YEAR))
-    fitted, metrics, _ = MD.train_all(train, test, [name])
+    fitted, metrics, _ = MD.train_all(*split_training(spark, store), [name])
     models = scratch.fresh_path(spark, "models")
     for model, run_id in fitted.values():
         R.save_model(model, f"{models}/{run_id}")
     versions = R.promote(MD.candidate_versions(metrics, "classifier"))
     model, version = R.load_production_model(spark, versions, "classifier", models)
-    return MD.score(model, spark.read.parquet(store), name, version)
+    scored = MD.score(model, spark.read.parquet(store), name, version)
+    return rounded(scored, "prob_democrat", "prob_republican").drop("prediction_ts")
 
 
-@query("score_batch")
+@query(
+    "score_batch",
+    lambda: with_ctes(
+        *feature_ctes(TRAIN_YEAR), *BAYES,
+        select=PREDICTED.replace(" FROM", ", 'naive_bayes' AS model_name, '1' AS model_version FROM"),
+    ),
+)
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, "naive_bayes")
+    return _scored(spark, vocabulary_features(spark, sf_dir), "naive_bayes")
 
 
 @query("score_batch_svc")
 def score_batch_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, "linear_svc")
+    return _scored(spark, hashed_features(spark, sf_dir), "linear_svc")
 
 
-@query("eval_predictions")
+@query(
+    "eval_predictions",
+    lambda: with_ctes(
+        *feature_ctes(TRAIN_YEAR), *BAYES,
+        select=PREDICTED.replace(" FROM", ", 'naive_bayes' AS model_name FROM") + f" WHERE {TRAIN_YEAR} AND split = 'test'",
+    ),
+)
 def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the test rows, saved and read back."""
-    train, test = split_training(spark, sf_dir)
+    train, test = split_training(spark, vocabulary_features(spark, sf_dir))
     fitted, _, _ = MD.train_all(train, test, ["naive_bayes"])
     path = scratch.fresh_path(spark, "eval-predictions")
     model, run_id = fitted["naive_bayes"]
     tables.write_year(MD.score(model, test, "naive_bayes", run_id), path, ts_col="prediction_ts")
-    return tables.load_predictions(spark, path)
+    stored = tables.load_predictions(spark, path).drop("prediction_ts", "model_version")
+    return rounded(stored, "prob_democrat", "prob_republican")
 
 
 @query("topic_share_by_year")

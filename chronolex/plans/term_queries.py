@@ -8,14 +8,16 @@ from chronolex.plans import bindings as B
 from chronolex.plans.catalog import query, rounded, with_ctes
 from chronolex.plans.text_queries import cleaned_sql, english_stopwords, sql_list
 from chronolex.schema import INFERENCE_YEARS, REFERENCE_YEAR
+from chronolex.sources import scratch
 
 VOCABULARY = 1000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with their cleaned words; label 1 marks English."""
-    articles = B.english_articles(spark, sf_dir)
-    return TM.tokenize(articles.withColumn("cleaned_paragraph", T.clean_text(F.col("text"))).drop("text"))
+    """Articles with their cleaned words, stored once; label 1 marks English."""
+    cleaned = T.clean_text(F.col("text")).alias("cleaned_paragraph")
+    articles = B.english_articles(spark, sf_dir).select("article_id", "series", "issue", "year", "label", cleaned)
+    return scratch.materialize(TM.tokenize(articles).drop("cleaned_paragraph", "words"), "documents")
 
 
 def words_cte() -> str:
