@@ -2,11 +2,11 @@
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, stopword_remover, tokenizer
+from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, stopword_remover, tokenizer, vocabulary
 from chronolex.sources.tables import load_feature_model, save_feature_model, write_year
 
 NUM_FEATURES = 262_144
@@ -35,9 +35,29 @@ def feature_stages(
     return Pipeline(stages=[tokenizer(text_col), stopword_remover(), counts, idf])
 
 
+def _with_vocabulary(stages: Pipeline, train: DataFrame) -> Pipeline:
+    """The same stages with the vocabulary already found.
+
+    The vectorizer's own fit leaves equally frequent terms at the cut to chance. Here the term
+    decides, so the features do not depend on the partitioning. At most `vocabSize` terms reach the
+    driver, as they do in the vectorizer.
+    """
+    tokenize, remove, counts, idf = stages.getStages()
+    terms = vocabulary(
+        remove.transform(tokenize.transform(train)), min_doc_freq=int(counts.getMinDF()), size=counts.getVocabSize()
+    )
+    fixed = CountVectorizerModel.from_vocabulary(
+        [r["term"] for r in terms.collect()], inputCol=counts.getInputCol(), outputCol=counts.getOutputCol()
+    )
+    return Pipeline(stages=[tokenize, remove, fixed, idf])
+
+
 def fit_features(train: DataFrame, **options) -> PipelineModel:
     """Fit the stages; one pass for hashing, two for a vocabulary. Runs actions."""
-    return feature_stages(**options).fit(train)
+    stages = feature_stages(**options)
+    if options.get("vectorizer") == "count_idf":
+        stages = _with_vocabulary(stages, train)
+    return stages.fit(train)
 
 
 def apply_features(model: PipelineModel, df: DataFrame, drop_intermediate: bool = True) -> DataFrame:

@@ -189,7 +189,8 @@ def feature_ctes(fit_years: str) -> tuple[str, ...]:
           FROM cleaned WHERE len(string_split(cleaned, ' ')) > {B.MIN_WORDS})""",
         f"""long AS (SELECT {KEY}, label, split, term, count(*) AS tf
           FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL)""",
-        f"vocab AS (SELECT term, count(*) AS df FROM long WHERE {fit_years} GROUP BY term HAVING count(*) >= 5)",
+        f"""vocab AS (SELECT term, count(*) AS df FROM long WHERE {fit_years} GROUP BY term HAVING count(*) >= 5
+          ORDER BY sum(tf) DESC, term LIMIT 50000)""",
         f"fitted AS (SELECT count(*) AS n FROM docs WHERE {fit_years})",
         "vec AS (SELECT l.*, tf * ln((n + 1) / (df + 1)) AS x FROM long l JOIN vocab USING (term), fitted)",
         f"""sums AS (SELECT {KEY}, label, split, count(x) FILTER (x <> 0) AS nonzero, coalesce(sum(x), 0) AS weight

@@ -59,8 +59,8 @@ def difference(df, connection, sql: str) -> str | None:
     theirs = sorted(tuple(plain(v) for v in r) for r in cursor.fetchall())
     if ours == theirs:
         return None
-    only_ours = [r for r in ours if r not in set(theirs)][:3]
-    only_theirs = [r for r in theirs if r not in set(ours)][:3]
+    only_ours = sorted(set(ours) - set(theirs))[:3]
+    only_theirs = sorted(set(theirs) - set(ours))[:3]
     return f"rows {len(ours)} vs {len(theirs)}; only ours {only_ours}; only SQL {only_theirs}"
 
 

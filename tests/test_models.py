@@ -30,6 +30,15 @@ def test_unicode_words_stay_whole(processed):
     assert "filtered_words" in FT.apply_features(model, processed, drop_intermediate=False).columns
 
 
+def test_vocabulary_cut_is_decided_by_the_term(spark):
+    """Ten equally frequent terms, room for four: always the first four."""
+    rows = [(" ".join(f"term{i}" for i in range(10)),)] * 6
+    for partitions in (1, 6):
+        df = spark.createDataFrame(rows, "cleaned_paragraph string").repartition(partitions)
+        model = FT.fit_features(df, vectorizer="count_idf", vocabulary_size=4)
+        assert model.stages[2].vocabulary == ["term0", "term1", "term2", "term3"]
+
+
 def test_nonzero_count_reads_sparse_vectors(features):
     assert {r[0] for r in features.select(nonzero_count(F.col("features"))).collect()} == {4}
 
