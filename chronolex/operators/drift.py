@@ -13,14 +13,16 @@ MODEL = ["model_name", "model_version"]
 PROBABILITIES = ("prob_democrat", "prob_republican")
 
 
+def _histogram(prob_col: str) -> list[Column]:
+    p = F.col(prob_col)
+    return [F.count(p).alias("n"), stats.bin_counts(p).alias("bins")]
+
+
 def bin_histogram(
     predictions: DataFrame, prob_col: str = "prob_republican", group_cols: list[str] = MODEL
 ) -> DataFrame:
     """Ten left-closed bin counts and the non-null count per group and year."""
-    p = F.col(prob_col)
-    return predictions.groupBy(*group_cols, "year").agg(
-        F.count(p).alias("n"), stats.bin_counts(p).alias("bins")
-    )
+    return predictions.groupBy(*group_cols, "year").agg(*_histogram(prob_col))
 
 
 def bin_rows(histogram: DataFrame, group_cols: list[str] = MODEL) -> DataFrame:
@@ -33,6 +35,19 @@ def _reference(value: Column, ref_year: int, group_cols: list[str]) -> Column:
     return F.max(F.when(F.col("year") == ref_year, value)).over(beside)
 
 
+def _beside_reference(wide: DataFrame, ref_year: int, group_cols: list[str]) -> DataFrame:
+    """Add `ref_year`, and `psi` and `kl` where both sides have probabilities, from `n` and `bins`."""
+    filled = F.when(F.col("n") > 0, F.struct("n", "bins"))
+    both = (F.col("n") > 0) & F.col("ref").isNotNull()
+    psi = stats.psi(F.col("ref.bins"), F.col("ref.n"), F.col("bins"), F.col("n"))
+    kl = stats.kl_divergence(F.col("ref.bins"), F.col("bins"))
+    return (
+        wide.withColumn("ref", _reference(filled, ref_year, group_cols))
+        .withColumns({"ref_year": F.lit(ref_year), "psi": F.when(both, psi), "kl": F.when(both, kl)})
+        .drop("ref")
+    )
+
+
 def drift_scores(
     predictions: DataFrame,
     ref_year: int,
@@ -41,18 +56,11 @@ def drift_scores(
     include_reference: bool = False,
 ) -> DataFrame:
     """PSI and KL per group and year; no row where either side has no probability."""
-    histogram = bin_histogram(predictions, prob_col, group_cols).filter(F.col("n") > 0)
-    reference = _reference(F.struct("n", "bins"), ref_year, group_cols)
-    paired = histogram.withColumn("ref", reference).filter(F.col("ref").isNotNull())
+    scored = _beside_reference(bin_histogram(predictions, prob_col, group_cols), ref_year, group_cols)
+    scored = scored.filter(F.col("psi").isNotNull())
     if not include_reference:
-        paired = paired.filter(F.col("year") != ref_year)
-    return paired.select(
-        *group_cols,
-        "year",
-        F.lit(ref_year).alias("ref_year"),
-        stats.psi(F.col("ref.bins"), F.col("ref.n"), F.col("bins"), F.col("n")).alias("psi"),
-        stats.kl_divergence(F.col("ref.bins"), F.col("bins")).alias("kl"),
-    )
+        scored = _others(scored, ref_year)
+    return scored.select(*group_cols, "year", "ref_year", "psi", "kl")
 
 
 def metric_rows(df: DataFrame, metrics: dict[str, Column], group_cols: list[str] = MODEL) -> DataFrame:
@@ -67,6 +75,10 @@ def metric_rows(df: DataFrame, metrics: dict[str, Column], group_cols: list[str]
     )
 
 
+def _score_metrics(prob_col: str) -> dict[str, Column]:
+    return {f"psi_{prob_col}": F.col("psi"), f"kl_{prob_col}": F.col("kl")}
+
+
 def data_drift(
     predictions: DataFrame,
     ref_year: int,
@@ -74,9 +86,7 @@ def data_drift(
     group_cols: list[str] = MODEL,
 ) -> DataFrame:
     scores = drift_scores(predictions, ref_year, prob_col, group_cols)
-    return metric_rows(
-        scores, {f"psi_{prob_col}": F.col("psi"), f"kl_{prob_col}": F.col("kl")}, group_cols
-    )
+    return metric_rows(scores, _score_metrics(prob_col), group_cols)
 
 
 def drift_severity(scores: DataFrame) -> DataFrame:
@@ -112,13 +122,7 @@ def class_balance(predictions: DataFrame, ref_year: int, group_cols: list[str] =
     )
 
 
-def probability_summary(
-    predictions: DataFrame, ref_year: int, group_cols: list[str] = MODEL
-) -> DataFrame:
-    """Mean, population variance and high-confidence share of both probabilities.
-
-    Groups without one of the probabilities give no row. `mean_confidence` averages the larger one.
-    """
+def _summary() -> list[Column]:
     low = 1 - schema.HIGH_CONFIDENCE
     aggregates = [F.avg(F.greatest(*PROBABILITIES)).alias("mean_confidence")]
     for name in PROBABILITIES:
@@ -131,12 +135,26 @@ def probability_summary(
             F.var_pop(p).alias(f"var_{name}"),
             F.avg(sure).alias(f"high_confidence_fraction_{side}"),
         ]
-    wide = _others(predictions, ref_year).groupBy(*group_cols, "year").agg(*aggregates)
-    wide = wide.filter((F.col("n_democrat") > 0) & (F.col("n_republican") > 0))
-    names = [c for c in wide.columns if c not in (*group_cols, "year", "n_democrat", "n_republican")]
-    return metric_rows(
-        wide.withColumn("ref_year", F.lit(ref_year)), {n: F.col(n) for n in names}, group_cols
-    )
+    return aggregates
+
+
+def _summary_metrics() -> dict[str, Column]:
+    both = (F.col("n_democrat") > 0) & (F.col("n_republican") > 0)
+    names = ["mean_confidence"]
+    for name in PROBABILITIES:
+        names += [f"mean_{name}", f"var_{name}", f"high_confidence_fraction_{name.removeprefix('prob_')}"]
+    return {n: F.when(both, F.col(n)) for n in names}
+
+
+def probability_summary(
+    predictions: DataFrame, ref_year: int, group_cols: list[str] = MODEL
+) -> DataFrame:
+    """Mean, population variance and high-confidence share of both probabilities.
+
+    Groups without one of the probabilities give no row. `mean_confidence` averages the larger one.
+    """
+    wide = _others(predictions, ref_year).groupBy(*group_cols, "year").agg(*_summary())
+    return metric_rows(wide.withColumn("ref_year", F.lit(ref_year)), _summary_metrics(), group_cols)
 
 
 def label_flip_rate(reference: DataFrame, current: DataFrame, group_cols: list[str] = ()) -> DataFrame:
@@ -193,7 +211,10 @@ def drift_report(
     prob_col: str = "prob_republican",
     group_cols: list[str] = MODEL,
 ) -> DataFrame:
-    """All data and concept drift rows of all years."""
-    return data_drift(predictions, ref_year, prob_col, group_cols).unionByName(
-        concept_drift(predictions, ref_year, group_cols)
+    """All data and concept drift rows of all years; every probability metric from one scan."""
+    wide = predictions.groupBy(*group_cols, "year").agg(*_histogram(prob_col), *_summary())
+    scored = _others(_beside_reference(wide, ref_year, group_cols), ref_year)
+    numeric = metric_rows(scored, {**_score_metrics(prob_col), **_summary_metrics()}, group_cols)
+    return numeric.unionByName(class_balance(predictions, ref_year, group_cols)).unionByName(
+        yearly_flip_rate(predictions, ref_year, group_cols)
     )

@@ -1,20 +1,24 @@
 """Shared scratch folder and materialised intermediate tables."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="chronolex-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only for an unset local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="chronolex-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

@@ -108,5 +108,18 @@ def test_pad_label(spark):
     assert df.schema["label"].dataType.simpleString() == "double" and df.head()["label"] is None
 
 
-def test_scratch_needs_a_shared_folder(spark):
-    assert scratch.fresh_path(spark, "x") != scratch.fresh_path(spark, "x")
+class FakeSession:
+    """Only what the scratch folder asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.conf = type("Conf", (), {"get": lambda _, key, default: folder})()
+        self.sparkContext = type("Context", (), {"master": master})()
+
+
+def test_scratch_folder_comes_from_the_session():
+    assert scratch.shared_folder(FakeSession("yarn", "/shared")) == "/shared"
+    assert scratch.fresh_path(FakeSession("yarn", "/shared/"), "x").startswith("/shared/chronolex/x-")
+    local = FakeSession("local[2]")
+    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+    with pytest.raises(ValueError):
+        scratch.shared_folder(FakeSession("yarn"))
