@@ -1,5 +1,7 @@
 """Running sums over groups of any size."""
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chronolex.sources.scratch import materialize
@@ -27,7 +29,8 @@ def running_sums(
     base = materialize(df, "running-input")
     group = [F.col(c) for c in group_cols]
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
-    if base.count() <= single_task_rows:
+    rows = base.count()
+    if rows <= single_task_rows:
         whole = Window.partitionBy(*group)
         ordered = whole.orderBy(*order_cols).rowsBetween(*up_to_here)
         return base.withColumns(
@@ -37,10 +40,11 @@ def running_sums(
             }
         )
 
-    chunked = materialize(
-        base.repartitionByRange(*group, *order_cols).withColumn("_chunk", F.spark_partition_id()),
-        "running-chunks",
-    )
+    # Enough chunks that each stays near the size one task handles, however large the input is.
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(usual, math.ceil(rows / single_task_rows)) if single_task_rows else usual
+    ranged = base.repartitionByRange(chunks, *group, *order_cols)
+    chunked = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "running-chunks")
     keys = [*group_cols, "_chunk"]
     totals = chunked.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in value_cols])
     whole = Window.partitionBy(*group)

@@ -361,16 +361,48 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("tune_nb")
+def tuning_sql() -> str:
+    """Naive Bayes per smoothing and fold: trained on the other folds, weighted F1 on the fold."""
+    ctes = (
+        f"""folded AS (SELECT {KEY}, label, least(floor(('0x' || substr(md5('fold-0/' || series || '/' || issue), 1, 8))::UBIGINT
+            / 4294967296.0 * 3), 2)::INTEGER AS fold FROM docs WHERE {TRAIN_YEAR} AND split = 'train')""",
+        "grid AS (SELECT lam, CAST(i AS INTEGER) AS k FROM (VALUES (0.5::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) AS l(lam), range(3) AS f(i))",
+        f"weights AS (SELECT f.*, v.term, v.x FROM folded f JOIN vec v USING ({KEY}))",
+        """class_sums AS (SELECT r.k, c.class, v.term, coalesce(sum(w.x), 0) AS s
+          FROM (SELECT DISTINCT k FROM grid) r CROSS JOIN (VALUES (0.0::DOUBLE), (1.0::DOUBLE)) AS c(class) CROSS JOIN vocab v
+          LEFT JOIN weights w ON w.term = v.term AND w.label = c.class AND w.fold <> r.k GROUP BY ALL)""",
+        """logs AS (SELECT lam, k, class, term, ln(s + lam) - ln(sum(s) OVER w + lam * count(*) OVER w) AS theta
+          FROM class_sums JOIN grid USING (k) WINDOW w AS (PARTITION BY lam, k, class))""",
+        """ratios AS (SELECT lam, k, term, sum(CASE class WHEN 1 THEN theta ELSE -theta END) AS ratio FROM logs GROUP BY ALL)""",
+        """priors AS (SELECT lam, k, ln(count(*) FILTER (label = 1) + lam) - ln(count(*) FILTER (label = 0) + lam) AS prior
+          FROM grid JOIN folded ON fold <> k GROUP BY lam, k)""",
+        f"""margins AS (SELECT p.lam, p.k, {', '.join('f.' + c for c in KEY.split(', '))}, f.label,
+            any_value(prior) + coalesce(sum(w.x * r.ratio), 0) AS margin
+          FROM priors p JOIN folded f ON f.fold = p.k
+          LEFT JOIN weights w ON w.series = f.series AND w.issue = f.issue AND w.year = f.year AND w.paragraph_id = f.paragraph_id
+          LEFT JOIN ratios r ON r.lam = p.lam AND r.k = p.k AND r.term = w.term GROUP BY ALL)""",
+        "guesses AS (SELECT lam, k, label, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS guess FROM margins)",
+        """by_class AS (SELECT g.lam, g.k, c.class, count(*) FILTER (label = c.class) AS support,
+            coalesce(2 * count(*) FILTER (label = c.class AND guess = c.class)
+              / nullif(count(*) FILTER (label = c.class) + count(*) FILTER (guess = c.class), 0), 0) AS f1
+          FROM guesses g CROSS JOIN (VALUES (0), (1)) AS c(class) GROUP BY g.lam, g.k, c.class)""",
+        "by_fold AS (SELECT lam, k, sum(f1 * support) / sum(support) AS f1 FROM by_class GROUP BY ALL)",
+    )
+    return with_ctes(
+        *feature_ctes(TRAIN_YEAR), *ctes, select="SELECT lam AS smoothing, round(avg(f1), 6) AS f1 FROM by_fold GROUP BY lam"
+    )
+
+
+@query("tune_nb", tuning_sql)
 def tune_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated F1 of every grid point, from folds that keep issues together."""
-    train, _ = split_training(spark, hashed_features(spark, sf_dir))
+    train, _ = split_training(spark, vocabulary_features(spark, sf_dir))
     search = MD.tune("naive_bayes", train)
     points = [
         (float(list(params.values())[0]), float(f1))
         for params, f1 in zip(search.getEstimatorParamMaps(), search.avgMetrics)
     ]
-    return spark.createDataFrame(points, "smoothing double, f1 double")
+    return rounded(spark.createDataFrame(points, "smoothing double, f1 double"), "f1")
 
 
 def _scored(spark: SparkSession, store: str, name: str) -> DataFrame:
@@ -422,4 +454,4 @@ def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("topic_share_by_year")
 def topic_share_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(stored_processed(spark, sf_dir))
-    return FT.topic_share_by_year(rows, max_iter=5, vocabulary_size=2000)
+    return FT.topic_share_by_year(rows, max_iter=5)

@@ -10,8 +10,6 @@ from chronolex.plans.text_queries import cleaned_sql, english_stopwords, sql_lis
 from chronolex.schema import INFERENCE_YEARS, REFERENCE_YEAR
 from chronolex.sources import scratch
 
-VOCABULARY = 1000
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with their cleaned words, stored once; label 1 marks English."""
@@ -69,11 +67,11 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     lambda: with_ctes(
         B.ARTICLES, words_cte(),
         select=f"""SELECT term, sum(tf)::BIGINT AS tf, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 5
-          ORDER BY tf DESC, term LIMIT {VOCABULARY}""",
+          ORDER BY tf DESC, term LIMIT {TM.VOCABULARY_SIZE}""",
     ),
 )
 def count_vector_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TM.vocabulary(documents(spark, sf_dir), size=VOCABULARY)
+    return TM.vocabulary(documents(spark, sf_dir))
 
 
 @query(

@@ -58,8 +58,9 @@ def test_running_sums_chunks_equal_window(spark):
     rows = [(g, i, (i * 7 + 3) % 11) for g in ("a", "b", None) for i in range(200 if g == "a" else 5)]
     df = spark.createDataFrame(rows, "g string, i int, v long")
     plain = running_sums(df, ["g"], [F.col("i").desc()], ["v"])
-    chunked = running_sums(df, ["g"], [F.col("i").desc()], ["v"], single_task_rows=0)
-    assert rows_of(plain) == rows_of(chunked.select(*plain.columns))
+    for limit in (0, 7):
+        chunked = running_sums(df, ["g"], [F.col("i").desc()], ["v"], single_task_rows=limit)
+        assert rows_of(plain) == rows_of(chunked.select(*plain.columns))
     assert chunked.filter("g = 'a' AND i = 0").head()["cum_v"] == sum(v for g, _, v in rows if g == "a")
 
 

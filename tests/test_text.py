@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from chronolex import schema
@@ -50,6 +51,21 @@ def test_cleaning_by_hand_on_whole_texts(spark, sf, shortest):
         assert r["c"] == by_hand(r["text"], shortest, set(words)), r["text"]
 
 
+# Letters whose lower case has the same length, digits, joiners, blanks, marks and symbols.
+ALPHABET = "abWXéÜñßжλ中9²_,,,  \t\n-'.’—\u00a0\u0301\U0001f600"
+WORDS = st.sampled_from(["which", "Their", "about", "whichever", "house", "a", "the"])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.one_of(st.text(ALPHABET, max_size=9), WORDS, st.just(" ")), max_size=12), min_size=40, max_size=80))
+def test_cleaning_by_hand_on_random_texts(spark, pieces):
+    texts = ["".join(p) for p in pieces]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    stopwords = set(schema.default_stopwords())
+    for r in df.withColumn("c", T.clean_text(F.col("text"))).collect():
+        assert r["c"] == by_hand(r["text"], 4, stopwords), repr(r["text"])
+
+
 def test_stopwords_can_be_replaced(spark):
     df = spark.createDataFrame([("alpha bravo charlie",)], "text string")
     assert df.select(T.clean_text(F.col("text"), 4, ["bravo"])).head()[0] == "alpha charlie"
