@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from chronolex import schema
 from chronolex.functions import text as T
 from chronolex.operators.running import SINGLE_TASK_ROWS, running_sums
-from chronolex.operators.skew import join_lookup
+from chronolex.operators.skew import BROADCAST_BYTES, join_lookup
 from chronolex.sources.articles import label_metadata
 
 ISSUE_YEAR = ["series", "issue", "year"]
@@ -16,7 +16,10 @@ def with_year(articles: DataFrame) -> DataFrame:
 
 
 def label_articles(
-    articles: DataFrame, metadata: DataFrame, train_labels: list[float] | None = None
+    articles: DataFrame,
+    metadata: DataFrame,
+    train_labels: list[float] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Articles with metadata, label and year, joined on `series`.
 
@@ -27,7 +30,7 @@ def label_articles(
     labels = metadata
     if train_labels is not None:
         labels = labels.filter(F.col("label").isin(train_labels))
-    return with_year(join_lookup(articles, labels, ["series"], "inner"))
+    return with_year(join_lookup(articles, labels, ["series"], "inner", broadcast_bytes))
 
 
 def ingest(

@@ -4,6 +4,7 @@ from chronolex import schema
 from chronolex.operators import paragraphs as P
 from chronolex.operators.running import running_sums
 from chronolex.plans import bindings as B
+from chronolex.sources import articles as A
 from conftest import plan_of, rows_of
 
 
@@ -70,3 +71,16 @@ def test_ingest_keeps_training_labels_only_on_request(spark, sf):
     assert {r[0] for r in P.ingest(articles, metadata).select("label").distinct().collect()} == {0.0, 1.0, 2.0, 3.0}
     train = P.ingest(articles, metadata, train_labels=schema.TRAIN_LABELS)
     assert {r[0] for r in train.select("label").distinct().collect()} == {0.0, 1.0}
+
+
+def test_metadata_join_is_broadcast_or_salted_with_the_same_result(spark, sf):
+    """A third of the articles in one series; small metadata is broadcast, large metadata is not."""
+    hot = F.when(F.col("article_id") % 3 == 0, "src4").otherwise(F.col("series"))
+    articles = B.articles(spark, sf).withColumn("series", hot)
+    labels = A.label_metadata(B.metadata(spark, sf))
+    small = P.label_articles(articles, labels)
+    large = P.label_articles(articles, labels, broadcast_bytes=0)
+    assert "BroadcastHashJoin Inner" in plan_of(small)
+    assert "_salt" in plan_of(large) and "_salt" not in plan_of(small)
+    assert rows_of(small, "article_id", "series", "label") == rows_of(large, "article_id", "series", "label")
+    assert small.count() == articles.count()
