@@ -111,15 +111,15 @@ def test_pad_label(spark):
 class FakeSession:
     """Only what the scratch folder asks of a session."""
 
-    def __init__(self, master, folder=None):
-        self.conf = type("Conf", (), {"get": lambda _, key, default: folder})()
-        self.sparkContext = type("Context", (), {"master": master})()
+    def __init__(self, **settings):
+        self.conf = type("Conf", (), {"get": lambda _, key, default=None: settings.get(key.replace(".", "_"), default)})()
+        self.sparkContext = type("Context", (), {"applicationId": "app-1"})()
 
 
 def test_scratch_folder_comes_from_the_session():
-    assert scratch.shared_folder(FakeSession("yarn", "/shared")) == "/shared"
-    assert scratch.fresh_path(FakeSession("yarn", "/shared/"), "x").startswith("/shared/chronolex/x-")
-    local = FakeSession("local[2]")
-    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+    assert scratch.shared_folder(FakeSession(spark_checkpoint_dir="/shared")) == "/shared"
+    assert scratch.shared_folder(FakeSession(chronolex_scratch_dir="/own")) == "/own"
+    named = FakeSession(spark_checkpoint_dir="/shared/", chronolex_scratch_dir="/own")
+    assert scratch.fresh_path(named, "x").startswith("/shared/chronolex/app-1/x-")
     with pytest.raises(ValueError):
-        scratch.shared_folder(FakeSession("yarn"))
+        scratch.shared_folder(FakeSession())
