@@ -18,7 +18,7 @@ def clean_tokens(
     Words of 1..min_word_len characters go; commas stay glued to their neighbours, so a stop word
     next to a comma is kept. NULL and blank text give an empty array.
     """
-    words = schema.default_stopwords() if stopwords is None else stopwords
+    words = schema.STOPWORDS if stopwords is None else stopwords
     # One regex pass turns every run of other characters (line breaks included) into one blank.
     spaced = F.regexp_replace(F.coalesce(text, F.lit("")), f"[^{WORD_CLASS},]+", " ")
     glued = F.replace(F.replace(spaced, F.lit(" ,"), F.lit(",")), F.lit(", "), F.lit(","))

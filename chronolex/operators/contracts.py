@@ -1,9 +1,10 @@
 """Data contracts: each stage is checked in one aggregate and reported as rows."""
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from chronolex import schema
 from chronolex.functions.text import word_count
@@ -104,9 +105,14 @@ def _outside(column: str, low: float, high: float) -> Column:
     return F.count_if(~F.col(column).between(low, high))
 
 
-def raw_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
-    rule = EXPECTATIONS["raw"]
-    checks = [missing_columns(df, ["series", "issue", "text"])]
+def _rule(stage: str, rules: dict | None) -> dict:
+    """The built-in rules of a stage, with those of `rules` (stage -> rule -> value) in their place."""
+    return {**EXPECTATIONS[stage], **(rules or {}).get(stage, {})}
+
+
+def raw_checks(df: DataFrame, minimum: int | None = None, rules: dict | None = None) -> list[Check]:
+    rule = _rule("raw", rules)
+    checks = [missing_columns(df, rule["required"])]
     checks.append(min_rows(rule["min_rows"] if minimum is None else minimum))
     checks += null_counts(df, rule["not_null"])
     if "text" in df.columns:
@@ -115,8 +121,10 @@ def raw_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
     return checks
 
 
-def metadata_checks(df: DataFrame, minimum: int | None = None, delimiter: str = schema.TAG_DELIMITER) -> list[Check]:
-    rule = EXPECTATIONS["metadata"]
+def metadata_checks(
+    df: DataFrame, minimum: int | None = None, rules: dict | None = None, delimiter: str = schema.TAG_DELIMITER
+) -> list[Check]:
+    rule = _rule("metadata", rules)
     checks = [missing_columns(df, rule["required"])]
     checks.append(min_rows(rule["min_rows"] if minimum is None else minimum))
     checks += null_counts(df, rule["not_null"])
@@ -127,9 +135,9 @@ def metadata_checks(df: DataFrame, minimum: int | None = None, delimiter: str =
     return checks
 
 
-def processed_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
-    rule = EXPECTATIONS["processed"]
-    checks = [missing_columns(df, ["series", "issue", "year", "paragraph_id"])]
+def processed_checks(df: DataFrame, minimum: int | None = None, rules: dict | None = None) -> list[Check]:
+    rule = _rule("processed", rules)
+    checks = [missing_columns(df, rule["required"])]
     checks.append(min_rows(rule["min_rows"] if minimum is None else minimum))
     checks += null_counts(df, rule["not_null"])
     if "text" in df.columns:
@@ -147,8 +155,8 @@ def processed_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
     return checks
 
 
-def feature_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
-    rule = EXPECTATIONS["features"]
+def feature_checks(df: DataFrame, minimum: int | None = None, rules: dict | None = None) -> list[Check]:
+    rule = _rule("features", rules)
     checks = [missing_columns(df, rule["required"])]
     checks.append(Check("row_count", F.count("*"), low=rule["min_rows"] if minimum is None else minimum, level="warning"))
     checks += null_counts(df, rule["not_null"])
@@ -164,9 +172,9 @@ def unexpected_labels(df: DataFrame, valid: list[float] | None = None) -> DataFr
     return df.filter(~F.col("pred_label").isin(values))
 
 
-def prediction_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
-    rule = EXPECTATIONS["predictions"]
-    checks = [missing_columns(df, ["series", "issue", "year", "pred_label"])]
+def prediction_checks(df: DataFrame, minimum: int | None = None, rules: dict | None = None) -> list[Check]:
+    rule = _rule("predictions", rules)
+    checks = [missing_columns(df, rule["required"])]
     checks.append(Check("row_count", F.count("*"), low=rule["min_rows"] if minimum is None else minimum, level="warning"))
     checks += null_counts(df, rule["not_null"])
     if "pred_label" in df.columns:
@@ -179,8 +187,8 @@ def prediction_checks(df: DataFrame, minimum: int | None = None) -> list[Check]:
     return checks
 
 
-def drift_metric_checks(df: DataFrame) -> list[Check]:
-    rule = EXPECTATIONS["drift_metrics"]
+def drift_metric_checks(df: DataFrame, rules: dict | None = None) -> list[Check]:
+    rule = _rule("drift_metrics", rules)
     return [missing_columns(df, rule["required"]), *null_counts(df, rule["not_null"])]
 
 
@@ -193,10 +201,18 @@ STAGE_CHECKS = {
 }
 
 
-def stage_report(df: DataFrame, stage: str, minimum: int | None = None) -> DataFrame:
+def stage_report(
+    df: DataFrame, stage: str, minimum: int | None = None, rules: dict | None = None
+) -> DataFrame:
+    """Report of a stage. `rules` may replace built-in rules, as a mapping stage -> rule -> value."""
     if stage == "drift_metrics":
-        return run_checks(df, stage, drift_metric_checks(df))
-    return run_checks(df, stage, STAGE_CHECKS[stage](df, minimum))
+        return run_checks(df, stage, drift_metric_checks(df, rules))
+    return run_checks(df, stage, STAGE_CHECKS[stage](df, minimum, rules))
+
+
+def load_rules(spark: SparkSession, path: str) -> dict:
+    """Rules from a JSON file, stage -> rule -> value."""
+    return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
 
 
 def union_reports(reports: list[DataFrame]) -> DataFrame:

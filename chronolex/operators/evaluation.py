@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chronolex.functions.vectors import vector_element
-from chronolex.operators.running import SINGLE_TASK_ROWS, running_sums
+from chronolex.operators.running import running_sums
 
 
 def margin(raw_prediction: str = "rawPrediction") -> Column:
@@ -63,7 +63,6 @@ def curve_counts(
     group_cols: list[str] = (),
     label: str = "label",
     n: str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """True and false positives at every distinct score, one class against the rest.
 
@@ -80,7 +79,7 @@ def curve_counts(
         F.sum(F.when(hit, 0).otherwise(F.col("_n"))).alias("neg"),
     )
     running = running_sums(
-        counts, [*group_cols, "class"], [F.col("score").desc()], ["pos", "neg"], single_task_rows
+        counts, [*group_cols, "class"], [F.col("score").desc()], ["pos", "neg"]
     )
     return running.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
 

@@ -42,14 +42,14 @@ def _with_vocabulary(stages: Pipeline, train: DataFrame) -> Pipeline:
     decides, so the features do not depend on the partitioning. At most `vocabSize` terms reach the
     driver, as they do in the vectorizer.
     """
-    tokenize, remove, counts, idf = stages.getStages()
+    tokenize, remove, counts, *later = stages.getStages()
     terms = vocabulary(
         remove.transform(tokenize.transform(train)), min_doc_freq=int(counts.getMinDF()), size=counts.getVocabSize()
     )
     fixed = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in terms.collect()], inputCol=counts.getInputCol(), outputCol=counts.getOutputCol()
     )
-    return Pipeline(stages=[tokenize, remove, fixed, idf])
+    return Pipeline(stages=[tokenize, remove, fixed, *later])
 
 
 def fit_features(train: DataFrame, **options) -> PipelineModel:
@@ -99,17 +99,12 @@ def topic_share_by_year(
     vocabulary_size: int = VOCABULARY_SIZE,
 ) -> DataFrame:
     """Mean LDA topic weight per year. Runs actions (fit)."""
-    stages = [
-        tokenizer(text_col),
-        stopword_remover(),
-        CountVectorizer(
-            inputCol="filtered_words",
-            outputCol="rawFeatures",
-            vocabSize=vocabulary_size,
-            minDF=float(min_doc_freq),
-        ),
-        LDA(featuresCol="rawFeatures", k=k, maxIter=max_iter, seed=seed),
-    ]
-    topics = Pipeline(stages=stages).fit(df).transform(df)
+    counts = CountVectorizer(
+        inputCol="filtered_words", outputCol="rawFeatures", vocabSize=vocabulary_size, minDF=float(min_doc_freq)
+    )
+    stages = Pipeline(stages=[tokenizer(text_col), stopword_remover(), counts])
+    lda = LDA(featuresCol="rawFeatures", k=k, maxIter=max_iter, seed=seed)
+    counted = _with_vocabulary(stages, df).fit(df).transform(df).select("year", "rawFeatures")
+    topics = lda.fit(counted).transform(counted)
     weights = topics.select("year", F.posexplode(vector_to_array("topicDistribution")).alias("topic", "weight"))
     return weights.groupBy("year", "topic").agg(F.avg("weight").alias("share"))

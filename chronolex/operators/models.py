@@ -71,12 +71,17 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 
 
 def train_all(
-    train: DataFrame, test: DataFrame, names: list[str] | None = None, params: dict[str, dict] | None = None
+    train: DataFrame,
+    test: DataFrame,
+    names: list[str] | None = None,
+    params: dict[str, dict] | None = None,
+    feature_version: str = "v1",
+    data_version: str = "v1",
 ) -> tuple[dict[str, tuple[Model, str]], DataFrame, DataFrame]:
     """Fit every enabled model. Returns {name: (model, run id)}, metrics and the run log.
 
-    The training features are kept while the models iterate over them and released afterwards.
-    Runs actions.
+    The versions name the state of features and data in the run log. The training features are kept
+    while the models iterate over them and released afterwards. Runs actions.
     """
     spark = train.sparkSession
     chosen = list(PARAMS) if names is None else names
@@ -86,7 +91,9 @@ def train_all(
         for name in chosen:
             extra = (params or {}).get(name, {})
             model = build_model(name, **extra).fit(kept)
-            run = registry.run_row(name, {**PARAMS[name], **extra})
+            run = registry.run_row(
+                name, {**PARAMS[name], **extra}, feature_version=feature_version, data_version=data_version
+            )
             fitted[name] = (model, run[0])
             runs.append(run)
             rows = evaluate(model.transform(training_rows(test)))

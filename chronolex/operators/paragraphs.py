@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from chronolex import schema
 from chronolex.functions import text as T
-from chronolex.operators.running import SINGLE_TASK_ROWS, running_sums
+from chronolex.operators.running import running_sums
 from chronolex.operators.skew import BROADCAST_BYTES, join_lookup
 from chronolex.sources.articles import label_metadata
 
@@ -19,18 +19,22 @@ def label_articles(
     articles: DataFrame,
     metadata: DataFrame,
     train_labels: list[float] | None = None,
+    train_year: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Articles with metadata, label and year, joined on `series`.
 
-    `metadata` has one row per series. With `train_labels` only those labels stay (the training
-    years); without, every labelled article does. The metadata is broadcast when its measured size
+    `metadata` has one row per series. With `train_labels` only those labels stay, in `train_year` if
+    one is given, else in all years; without, every labelled article does. The metadata is broadcast when its measured size
     allows; otherwise series with many articles are salted. Runs actions.
     """
     labels = metadata
-    if train_labels is not None:
+    if train_labels is not None and train_year is None:
         labels = labels.filter(F.col("label").isin(train_labels))
-    return with_year(join_lookup(articles, labels, ["series"], "inner", broadcast_bytes))
+    joined = with_year(join_lookup(articles, labels, ["series"], "inner", broadcast_bytes))
+    if train_labels is not None and train_year is not None:
+        joined = joined.filter((F.col("year") != train_year) | F.col("label").isin(train_labels))
+    return joined
 
 
 def ingest(
@@ -39,9 +43,10 @@ def ingest(
     delimiter: str = schema.TAG_DELIMITER,
     labels: dict[str, float] | None = None,
     train_labels: list[float] | None = None,
+    train_year: int | None = None,
 ) -> DataFrame:
     """Raw articles and raw metadata to labelled articles. Runs actions."""
-    return label_articles(articles, label_metadata(metadata, delimiter, labels), train_labels)
+    return label_articles(articles, label_metadata(metadata, delimiter, labels), train_labels, train_year)
 
 
 def explode_paragraphs(articles: DataFrame, separator: str = schema.PARAGRAPH_SEPARATOR) -> DataFrame:
@@ -57,7 +62,6 @@ def paragraph_offsets(
     separator: str = schema.PARAGRAPH_SEPARATOR,
     group_cols: list[str] = ISSUE_YEAR,
     order_cols: tuple[str, ...] = ("date", "article_id"),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Paragraphs before each article within its issue: one slim row per article. Runs actions."""
     counts = articles.filter(F.col("text").isNotNull()).select(
@@ -65,7 +69,7 @@ def paragraph_offsets(
         *order_cols,
         F.size(T.split_paragraphs(F.col("text"), separator)).cast("long").alias("n"),
     )
-    running = running_sums(counts, group_cols, [F.col(c) for c in order_cols], ["n"], single_task_rows)
+    running = running_sums(counts, group_cols, [F.col(c) for c in order_cols], ["n"])
     return running.select("article_id", (F.col("cum_n") - F.col("n")).alias("_offset"))
 
 
@@ -84,10 +88,9 @@ def number_paragraphs(exploded: DataFrame, offsets: DataFrame) -> DataFrame:
 def split_into_paragraphs(
     articles: DataFrame,
     separator: str = schema.PARAGRAPH_SEPARATOR,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Numbered paragraphs. Needs `year` and a unique `article_id`. Runs actions."""
-    offsets = paragraph_offsets(articles, separator, single_task_rows=single_task_rows)
+    offsets = paragraph_offsets(articles, separator)
     return number_paragraphs(explode_paragraphs(articles, separator), offsets)
 
 
@@ -111,13 +114,12 @@ def transform(
     min_word_len: int = schema.MIN_WORD_LENGTH,
     min_para_words: int = schema.MIN_PARAGRAPH_WORDS,
     stopwords: list[str] | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Labelled articles of one or many years to processed paragraphs.
 
     Short paragraphs are dropped before the numbering join. Runs actions.
     """
-    offsets = paragraph_offsets(articles, separator, single_task_rows=single_task_rows)
+    offsets = paragraph_offsets(articles, separator)
     others = [c for c in articles.columns if c != "text"]
     # Cleaned inside the array: a filter on a column of the exploded struct reuses the cleaned
     # text, while a filter on a projected expression would run the cleaning a second time.

@@ -7,7 +7,6 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronolex.operators.skew import join_even
 from chronolex.schema import ARCHIVED, PRODUCTION, STAGING
 
 MIN_ACCURACY = 0.70
@@ -66,7 +65,8 @@ def promote(versions: DataFrame) -> DataFrame:
     newest = (
         versions.groupBy("name").agg(F.max(staged).alias("_new")).filter(F.col("_new").isNotNull())
     )
-    joined = join_even(versions, newest, ["name"], "left")
+    # One name with a long history is a hot key of the streamed side, which adaptive execution may cut.
+    joined = versions.join(newest, "name", "left")
     stage = (
         F.when((F.col("stage") == STAGING) & (F.col("version") == F.col("_new")), PRODUCTION)
         .when(F.col("_new").isNotNull() & (F.col("stage") == PRODUCTION), ARCHIVED)

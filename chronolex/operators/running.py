@@ -6,43 +6,27 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from chronolex.sources.scratch import materialize
 
-# Rows one task sorts comfortably; beyond that a group is cut into ordered chunks.
-SINGLE_TASK_ROWS = 1_000_000
+# Rows that one chunk holds at most, about: what one task sorts comfortably.
+CHUNK_ROWS = 1_000_000
 
 
 def running_sums(
-    df: DataFrame,
-    group_cols: list[str],
-    order_cols: list,
-    value_cols: list[str],
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, group_cols: list[str], order_cols: list, value_cols: list[str], chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Add inclusive running sums `cum_<value>` and group totals `total_<value>`.
 
     `order_cols` (columns, possibly descending) must order each group without ties. The input is
-    written to the shared folder once. Up to `single_task_rows` rows a plain window does; beyond
-    that rows are range-partitioned by group and order, so even one group holding most rows is cut
-    into even chunks: a window runs inside each chunk, and chunk totals (one row per group and
-    chunk) give the offsets. The chunk numbers are written too, so a lost executor cannot change
-    them. Runs actions.
+    written to the shared folder once. Rows are range-partitioned by group and order, so even one
+    group holding most rows is cut into even chunks: a window runs inside each chunk, and chunk totals
+    (one row per group and chunk) give the offsets. The chunk numbers are written too, so a lost
+    executor cannot change them. Runs actions.
     """
     base = materialize(df, "running-input")
     group = [F.col(c) for c in group_cols]
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
-    rows = base.count()
-    if rows <= single_task_rows:
-        whole = Window.partitionBy(*group)
-        ordered = whole.orderBy(*order_cols).rowsBetween(*up_to_here)
-        return base.withColumns(
-            {
-                **{f"cum_{c}": F.sum(c).over(ordered) for c in value_cols},
-                **{f"total_{c}": F.sum(c).over(whole) for c in value_cols},
-            }
-        )
-
     # Enough chunks that each stays near the size one task handles, however large the input is.
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(usual, math.ceil(rows / single_task_rows)) if single_task_rows else usual
+    chunks = max(usual, math.ceil(base.count() / chunk_rows))
     ranged = base.repartitionByRange(chunks, *group, *order_cols)
     chunked = materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "running-chunks")
     keys = [*group_cols, "_chunk"]
@@ -55,7 +39,7 @@ def running_sums(
         *[F.sum(f"_sum_{c}").over(whole).alias(f"total_{c}") for c in value_cols],
     )
     in_chunk = Window.partitionBy(*group, "_chunk").orderBy(*order_cols).rowsBetween(*up_to_here)
-    # NULL is a group like any other here, as it is in the window form.
+    # NULL is a group like any other here, as it is in a window.
     same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
     return (
         chunked.withColumns({f"_run_{c}": F.sum(c).over(in_chunk) for c in value_cols})

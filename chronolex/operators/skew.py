@@ -10,13 +10,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Data size of `df` from its values. Runs one aggregate."""
-    widths = [
-        F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(0) for c, t in df.dtypes
-    ]
+    """Data size of `df` from its values; nested columns count by their text form. Runs one aggregate."""
+
+    def width(column: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(column), F.lit(0))
+        flat = not kind.startswith(("array", "map", "struct", "vector", "matrix", "variant"))
+        # A number takes up to 8 bytes in memory and at least one character and a separator as text.
+        return F.lit(0) if flat else 8 * F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+
+    widths = [width(c, t) for c, t in df.dtypes]
     row = F.lit(16 * len(widths)).cast("long")
-    for width in widths:
-        row = row + width
+    for own in widths:
+        row = row + own
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).head()[0]
 
 

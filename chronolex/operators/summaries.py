@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from chronolex import schema
 from chronolex.functions import stats
-from chronolex.operators.running import SINGLE_TASK_ROWS, running_sums
+from chronolex.operators.running import running_sums
 
 
 def year_summary(predictions: DataFrame) -> DataFrame:
@@ -74,12 +74,12 @@ def prob_histogram(predictions: DataFrame, prob_col: str = "prob_republican", bi
 
 
 def prob_ecdf(
-    predictions: DataFrame, prob_col: str = "prob_republican", single_task_rows: int = SINGLE_TASK_ROWS
+    predictions: DataFrame, prob_col: str = "prob_republican"
 ) -> DataFrame:
     """Share of a year's rows at or below each distinct probability. Runs actions."""
     p = F.col(prob_col)
     counts = predictions.filter(p.isNotNull()).groupBy("year", p.alias("p")).agg(F.count("*").alias("n"))
-    running = running_sums(counts, ["year"], [F.col("p")], ["n"], single_task_rows)
+    running = running_sums(counts, ["year"], [F.col("p")], ["n"])
     return running.select("year", "p", (F.col("cum_n") / F.col("total_n")).alias("ecdf"))
 
 

@@ -1,7 +1,7 @@
 """Term statistics in long form: vocabulary, TF-IDF, vocabulary and feature drift."""
 
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronolex.functions.text import WORD_CLASS
 from chronolex.operators.skew import join_even
@@ -30,6 +30,27 @@ def _idf(n: Column, df: Column, min_doc_freq: int) -> Column:
     return F.when(df >= min_doc_freq, F.log((n + 1) / (df + 1))).otherwise(F.lit(0.0))
 
 
+def row_term_counts(df: DataFrame, key: str, words_col: str = "filtered_words") -> DataFrame:
+    """`tf` per row and term, counted inside the row: `key` names the row, and nothing is shuffled.
+
+    The sorted words fall into runs of equal words; the end of each run is a term.
+    """
+    words = F.array_sort(words_col)
+    n = F.size(words)
+    last = F.filter(
+        F.sequence(F.lit(1), n), lambda i: (i == n) | (F.get(words, i) != F.get(words, i - 1))
+    )
+    entries = F.transform(
+        last,
+        lambda end, k: F.struct(
+            F.get(words, end - 1).alias("term"),
+            (end - F.coalesce(F.get(last, k - 1), F.lit(0))).cast("long").alias("tf"),
+        ),
+    )
+    rows = df.filter(F.size(words_col) > 0).select(key, F.explode(entries).alias("e"))
+    return rows.select(key, "e.term", "e.tf")
+
+
 def term_counts(df: DataFrame, keys: list[str], words_col: str = "filtered_words") -> DataFrame:
     """`tf` per key and term; counts combine before the shuffle."""
     exploded = df.select(*keys, F.explode(words_col).alias("term"))
@@ -60,9 +81,38 @@ def vocabulary(
     min_doc_freq: int = MIN_DOC_FREQ,
     size: int = VOCABULARY_SIZE,
 ) -> DataFrame:
-    """The `size` most frequent terms that occur in at least `min_doc_freq` rows."""
-    profile = _term_profile(df, [], words_col).filter(F.col("df") >= min_doc_freq)
-    return profile.orderBy(F.col("tf").desc(), "term").limit(size)
+    """The `size` most frequent terms that occur in at least `min_doc_freq` rows, ties in term order.
+
+    No task sorts all terms: terms are counted per frequency, a table as short as there are distinct
+    frequencies; the frequency at which the vocabulary is full is read off it, more frequent terms are
+    kept in place, and only terms of that very frequency are ranked. Runs actions.
+    """
+    profile = materialize(
+        _term_profile(df, [], words_col).filter(F.col("df") >= min_doc_freq), "term-profile"
+    )
+    by_frequency = profile.groupBy("tf").agg(F.count("*").alias("n"))
+    more = Window.orderBy(F.col("tf").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        by_frequency.withColumn("before", F.coalesce(F.sum("n").over(more), F.lit(0)))
+        .filter((F.col("before") < size) & (F.col("before") + F.col("n") >= size))
+        .select("tf", "before")
+        .head()
+    )
+    if cut is None:
+        return profile
+    above = profile.filter(F.col("tf") > cut["tf"])
+    # Terms at the cut are ranked in range partitions, each of which knows how many come before it.
+    at_cut = materialize(
+        profile.filter(F.col("tf") == cut["tf"]).repartitionByRange("term").withColumn("_part", F.spark_partition_id()),
+        "terms-at-cut",
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = at_cut.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+    )
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("term")) + F.col("_offset")
+    ranked = at_cut.join(F.broadcast(offsets), "_part").withColumn("_place", place)
+    return above.unionByName(ranked.filter(F.col("_place") <= size - cut["before"]).select(*profile.columns))
 
 
 def tfidf_terms(
@@ -76,7 +126,7 @@ def tfidf_terms(
     present = df.select(F.explode(F.array_distinct(words_col)).alias("term"))
     frequencies = materialize(present.groupBy("term").agg(F.count("*").alias("df")), "document-frequencies")
     n = df.select(F.count("*")).scalar()
-    tf = term_counts(df, [key], words_col)
+    tf = row_term_counts(df, key, words_col)
     joined = join_even(tf, frequencies, ["term"], "inner", key_counts=frequencies)
     return joined.withColumn("tfidf", F.col("tf") * _idf(n, F.col("df"), min_doc_freq))
 
@@ -110,11 +160,11 @@ def vocabulary_drift(
     ref_year: int,
     years: list[int],
     words_col: str = "filtered_words",
-    min_count: int = 5,
+    min_count: int = 1,
 ) -> DataFrame:
     """Term counts and shares of each year beside the reference year.
 
-    Terms with fewer than `min_count` occurrences on both sides are dropped.
+    All terms are compared; a larger `min_count` leaves out terms with fewer occurrences on both sides.
     """
     others = [y for y in years if y != ref_year]
     scope = df.filter(F.col("year").isin([ref_year, *others]))
@@ -158,7 +208,7 @@ def feature_drift(
     """Mean TF-IDF per term and year (absent = 0) against the reference year, whose idf is used.
 
     The mean over a year is idf * (occurrences / rows), so no per-document table is needed. Terms
-    under `min_doc_freq` in the reference year have weight 0 and are left out.
+    under `min_doc_freq` in the reference year, new ones among them, have weight 0.
     """
     others = [y for y in years if y != ref_year]
     scope = df.filter(F.col("year").isin([ref_year, *others]))
@@ -166,7 +216,7 @@ def feature_drift(
     sides = _beside_reference(_term_profile(scope, ["year"], words_col), ref_year, others, ["tf", "df"])
     n_ref = rows[F.lit(ref_year)]
     idf = _idf(n_ref, F.col("ref_df"), min_doc_freq)
-    means = sides.filter(F.col("ref_df") >= min_doc_freq).select(
+    means = sides.select(
         "year",
         "term",
         (idf * F.col("ref_tf") / n_ref).alias("ref_mean"),

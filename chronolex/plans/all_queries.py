@@ -4,6 +4,7 @@ from chronolex.plans import (  # noqa: F401
     contract_queries,
     drift_queries,
     model_queries,
+    pipeline_queries,
     summary_queries,
     term_queries,
     text_queries,

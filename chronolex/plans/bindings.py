@@ -15,10 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents; a file with fewer splits than cores is spread, larger inputs keep their splits."""
-    df = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
+    return table(spark, sf_dir, "documents")
 
 
 def _article_date() -> Column:

@@ -11,8 +11,6 @@ from chronolex.plans.catalog import query, rounded, with_ctes
 from chronolex.plans.text_queries import LINES, NUMBERED, cleaned_sql, english_stopwords, sql_list
 from chronolex.sources import scratch, tables
 
-NUM_FEATURES = 16_384
-
 # --- evaluation tables over scores that need no trained model -----------------------------------
 
 MATRIX = "matrix AS (SELECT label, prediction, count(*) AS n FROM eval_scores GROUP BY ALL)"
@@ -264,7 +262,7 @@ def vocabulary_features(spark: SparkSession, sf_dir: str) -> str:
 
 
 def hashed_features(spark: SparkSession, sf_dir: str) -> str:
-    return stored_features(spark, sf_dir, num_features=NUM_FEATURES)
+    return stored_features(spark, sf_dir)
 
 
 def readable(features: DataFrame) -> DataFrame:
@@ -307,7 +305,7 @@ def feature_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default, hashed vectors."""
     rows = spark.read.parquet(stored_processed(spark, sf_dir))
-    return readable(FT.apply_features(FT.fit_features(rows, num_features=NUM_FEATURES), rows))
+    return readable(FT.apply_features(FT.fit_features(rows), rows))
 
 
 def split_training(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
@@ -454,4 +452,4 @@ def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("topic_share_by_year")
 def topic_share_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(stored_processed(spark, sf_dir))
-    return FT.topic_share_by_year(rows, max_iter=5)
+    return FT.topic_share_by_year(rows)

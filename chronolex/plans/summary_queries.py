@@ -9,7 +9,6 @@ from chronolex.plans.drift_queries import REF, REPORT_CTES
 from chronolex.sources import scratch, tables
 
 PRED_COLUMNS = "series, issue, paragraph_id, year, pred_label, prob_democrat, prob_republican, model_name, model_version"
-PRED_YEARS = list(range(1992, 2003))
 
 SUMMARY = """SELECT year, model_name, round(p, 4) AS partisan_fraction, n AS total_paragraphs,
     round(greatest(0.0, (p + z2 / (2 * n)) / (1 + z2 / n) - s), 4) AS ci_lower,
@@ -147,7 +146,7 @@ def load_predictions_all_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         base,
         ts_col=None,
     )
-    return tables.load_prediction_exports(spark, {y: f"{base}/year={y}" for y in PRED_YEARS})
+    return tables.load_prediction_exports(spark, tables.year_folders(spark, base))
 
 
 @query("write_predictions_roundtrip", with_ctes(B.PREDS, select=f"SELECT {PRED_COLUMNS} FROM preds"))

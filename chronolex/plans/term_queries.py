@@ -24,7 +24,7 @@ docs AS (
   SELECT article_id, series, issue, year, CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
     list_filter(regexp_split_to_array(lower(cleaned), '[^\\p{{L}}\\p{{N}}_]'),
       lambda t: t <> '' AND NOT list_contains({sql_list(english_stopwords())}, t)) AS words FROM cleaned),
-tf AS (SELECT article_id, year, label, term, count(*) AS tf FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL)"""
+tf AS MATERIALIZED (SELECT article_id, year, label, term, count(*) AS tf FROM (SELECT *, unnest(words) AS term FROM docs) GROUP BY ALL)"""
 
 
 def sides_cte() -> str:
@@ -34,18 +34,18 @@ def sides_cte() -> str:
 sizes AS (SELECT year, count(*) AS n, sum(len(words))::BIGINT AS total FROM docs GROUP BY year),
 ref AS (SELECT y.year, b.term, b.tf, b.df FROM by_year b, (VALUES {years}) AS y(year) WHERE b.year = {REFERENCE_YEAR}),
 cur AS (SELECT year, term, tf, df FROM by_year WHERE year IN (SELECT year FROM (VALUES {years}) AS y(year))),
-sides AS (
+sides AS MATERIALIZED (
   SELECT year, term, coalesce(r.tf, 0) AS ref_tf, coalesce(c.tf, 0) AS cur_tf, coalesce(r.df, 0) AS ref_df
   FROM ref r FULL OUTER JOIN cur c USING (year, term)),
 ref_size AS (SELECT n AS ref_n, total AS ref_total FROM sizes WHERE year = {REFERENCE_YEAR}),
 vocab AS (
   SELECT s.year, term, ref_tf, cur_tf, ref_tf / ref_total AS ref_share, cur_tf / total AS cur_share,
     CASE WHEN ref_tf = 0 THEN 'new' WHEN cur_tf = 0 THEN 'gone' ELSE 'kept' END AS status
-  FROM sides s JOIN sizes USING (year), ref_size WHERE greatest(ref_tf, cur_tf) >= 5),
+  FROM sides s JOIN sizes USING (year), ref_size),
 shift AS (
-  SELECT s.year, term, ln((ref_n + 1) / (ref_df + 1)) * ref_tf / ref_n AS ref_mean,
-    ln((ref_n + 1) / (ref_df + 1)) * cur_tf / n AS cur_mean
-  FROM sides s JOIN sizes USING (year), ref_size WHERE ref_df >= 5)"""
+  SELECT s.year, term, w * ref_tf / ref_n AS ref_mean, w * cur_tf / n AS cur_mean
+  FROM (SELECT *, CASE WHEN ref_df >= 5 THEN ln((ref_n + 1) / (ref_df + 1)) ELSE 0 END AS w FROM sides, ref_size) s
+    JOIN sizes USING (year))"""
 
 
 @query(

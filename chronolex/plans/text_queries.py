@@ -33,8 +33,7 @@ def sql_list(words) -> str:
 
 
 def clean_stopwords_sql() -> str:
-    plain = [w for w in english_stopwords() if "'" not in w and w not in schema.KEPT_WORDS]
-    return sql_list(sorted({*plain, *schema.EXTRA_STOPWORDS}))
+    return sql_list(schema.STOPWORDS)
 
 
 def cleaned_sql(source: str, columns: str, output: str = "cleaned") -> str:
@@ -59,7 +58,8 @@ NUMBERED = """numbered AS (
 
 INGESTED = """ingested AS (
   SELECT a.*, l.metadata, l.label, CAST(year(a.date) AS INTEGER) AS year
-  FROM articles a JOIN series_labels l USING (series) WHERE l.label IN (0.0, 1.0))"""
+  FROM articles a JOIN series_labels l USING (series)
+  WHERE year(a.date) <> 1869 OR l.label IN (0.0, 1.0))"""
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +72,12 @@ def stored_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training year has only training labels; later years keep all."""
     return P.ingest(
-        B.articles(spark, sf_dir), stored_metadata(spark, sf_dir), train_labels=schema.TRAIN_LABELS
+        B.articles(spark, sf_dir),
+        stored_metadata(spark, sf_dir),
+        train_labels=schema.TRAIN_LABELS,
+        train_year=schema.REFERENCE_YEAR,
     )
 
 
@@ -85,7 +89,10 @@ def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def scan_articles_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.in_year(B.articles(spark, sf_dir), 1869).select("series", "issue", "date", "text")
+    """The articles stored as a table, and one year read from it."""
+    path = scratch.fresh_path(spark, "articles")
+    B.articles(spark, sf_dir).select("series", "issue", "date", "text").write.parquet(path)
+    return A.read_articles(spark, path, 1869)
 
 
 @query("scan_metadata_csv", with_ctes(B.METADATA, select="SELECT series, contents FROM metadata"))

@@ -2,20 +2,36 @@
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from chronolex import schema
 from chronolex.functions.labels import label_from_tags
 
 
 def scan_articles(spark: SparkSession, path: str, with_article_id: bool = False) -> DataFrame:
-    """Article Parquet; `article_id` (file and row position) orders articles without a key."""
-    df = spark.read.parquet(path)
+    """Article Parquet. `article_id` is a hash of the content, so moving or compacting files keeps it.
+
+    Articles that agree in everything share an id; `distinct_article_ids` tells them apart.
+    """
     columns = [F.col(f.name) for f in schema.ARTICLE_SCHEMA]
     if with_article_id:
-        position = F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")
-        columns.append(F.concat_ws("#", "_metadata.file_path", position).alias("article_id"))
-    return df.select(*columns)
+        columns.append(F.md5(F.to_json(F.struct(*columns)).cast("binary")).alias("article_id"))
+    return spark.read.parquet(path).select(*columns)
+
+
+def distinct_article_ids(articles: DataFrame) -> DataFrame:
+    """Number the copies of an article: the first keeps its id, later ones add their number.
+
+    Only ids that occur more than once are counted and joined back, without the text of the others.
+    """
+    shared = articles.groupBy("article_id").agg(F.count("*").alias("_copies")).filter("_copies > 1")
+    single = articles.join(shared, "article_id", "left_anti")
+    # Copies are equal in all columns, so one row and a count stand for all of them.
+    one = articles.join(shared, "article_id", "left_semi").dropDuplicates(["article_id"])
+    number = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_number")
+    copies = one.join(shared, "article_id").select("*", number)
+    named = F.when(F.col("_number") > 1, F.concat_ws("#", "article_id", "_number")).otherwise(F.col("article_id"))
+    return single.unionByName(copies.withColumn("article_id", named).select(*articles.columns))
 
 
 def in_year(articles: DataFrame, year: int) -> DataFrame:
@@ -29,9 +45,17 @@ def read_articles(spark: SparkSession, path: str, year: int, with_article_id: bo
 
 
 def scan_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata CSV with a header; columns go by name and stay strings, so no inference pass."""
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select("contents", "series")
+    """Metadata CSV with a header; columns go by name, must be the declared ones, and stay strings.
+
+    Columns beyond the declared ones are read over; a missing one is an error.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema.METADATA_SCHEMA if f.name not in header]
+    if missing:
+        raise ValueError(f"metadata lacks the columns {', '.join(missing)}")
+    declared = {f.name: f.dataType for f in schema.METADATA_SCHEMA}
+    types = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
+    return spark.read.option("header", True).schema(types).csv(path).select("contents", "series")
 
 
 def label_metadata(

@@ -64,6 +64,15 @@ def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def year_folders(spark: SparkSession, base_path: str) -> dict[int, str]:
+    """The year folders of a table that are there, by year."""
+    context = spark.sparkContext
+    base = context._jvm.org.apache.hadoop.fs.Path(base_path)
+    found = base.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(base)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    return {int(n[5:]): f"{base_path}/{n}" for n in sorted(names) if n.startswith("year=") and n[5:].lstrip("-").isdigit()}
+
+
 def load_prediction_exports(spark: SparkSession, exports: dict[int, str]) -> DataFrame:
     """Union of per-year exports by column name; absent years are skipped, bad numbers are NULL."""
     frames = []

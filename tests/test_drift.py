@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from chronolex import schema
 from chronolex.functions import stats
@@ -149,9 +149,11 @@ def test_wilson(spark, hits, n, low, high):
     assert (round(a, 4), round(b, 4)) == (low, high)
 
 
-def test_ecdf_chunks_equal_window(spark, sf):
+def test_ecdf_equals_window(spark, sf):
     df = B.predictions(spark, sf)
-    assert rows_of(S.prob_ecdf(df)) == rows_of(S.prob_ecdf(df, single_task_rows=0))
+    share = F.cume_dist().over(Window.partitionBy("year").orderBy("prob_republican"))
+    plain = df.select("year", F.col("prob_republican").alias("p"), share.alias("ecdf")).distinct()
+    assert rows_of(S.prob_ecdf(df)) == rows_of(plain)
 
 
 def test_heatmap_rows_sum_to_one(spark, sf):

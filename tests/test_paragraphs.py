@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from chronolex import schema
 from chronolex.operators import paragraphs as P
@@ -19,12 +19,13 @@ def test_paragraph_ids_have_no_gaps(spark, sf):
 
 
 def test_one_hot_issue_numbers_the_same_in_chunks(spark, sf):
-    """All articles in one issue: the chunked numbering equals the single-window one."""
+    """All articles in one issue: the chunked numbering equals that of one window."""
     articles = P.with_year(B.articles(spark, sf)).withColumns(
         {"series": F.lit("hot"), "issue": F.lit("1"), "year": F.lit(1869)}
     )
-    whole = P.split_into_paragraphs(articles, "\n")
-    chunked = P.split_into_paragraphs(articles, "\n", single_task_rows=0)
+    chunked = P.split_into_paragraphs(articles, "\n")
+    order = Window.orderBy("date", "article_id", "pos")
+    whole = P.explode_paragraphs(articles, "\n").withColumn("paragraph_id", F.row_number().over(order).cast("long"))
     columns = ["article_id", "paragraph_id", "text"]
     assert rows_of(whole, *columns) == rows_of(chunked, *columns)
 
@@ -58,9 +59,12 @@ def test_transform_cleans_once_and_without_python(spark, sf):
 def test_running_sums_chunks_equal_window(spark):
     rows = [(g, i, (i * 7 + 3) % 11) for g in ("a", "b", None) for i in range(200 if g == "a" else 5)]
     df = spark.createDataFrame(rows, "g string, i int, v long")
-    plain = running_sums(df, ["g"], [F.col("i").desc()], ["v"])
-    for limit in (0, 7):
-        chunked = running_sums(df, ["g"], [F.col("i").desc()], ["v"], single_task_rows=limit)
+    whole = Window.partitionBy("g")
+    plain = df.withColumns(
+        {"cum_v": F.sum("v").over(whole.orderBy(F.col("i").desc())), "total_v": F.sum("v").over(whole)}
+    )
+    for rows_per_chunk in (7, 10**6):
+        chunked = running_sums(df, ["g"], [F.col("i").desc()], ["v"], chunk_rows=rows_per_chunk)
         assert rows_of(plain) == rows_of(chunked.select(*plain.columns))
     assert chunked.filter("g = 'a' AND i = 0").head()["cum_v"] == sum(v for g, _, v in rows if g == "a")
 
@@ -71,6 +75,9 @@ def test_ingest_keeps_training_labels_only_on_request(spark, sf):
     assert {r[0] for r in P.ingest(articles, metadata).select("label").distinct().collect()} == {0.0, 1.0, 2.0, 3.0}
     train = P.ingest(articles, metadata, train_labels=schema.TRAIN_LABELS)
     assert {r[0] for r in train.select("label").distinct().collect()} == {0.0, 1.0}
+    one_year = P.ingest(articles, metadata, train_labels=schema.TRAIN_LABELS, train_year=1869)
+    labels = {(r[0] == 1869, r[1]) for r in one_year.select("year", "label").distinct().collect()}
+    assert labels == {(True, 0.0), (True, 1.0), *((False, float(v)) for v in range(4))}
 
 
 def test_metadata_join_is_broadcast_or_salted_with_the_same_result(spark, sf):

@@ -39,7 +39,7 @@ def by_hand(text, shortest, stopwords):
 
 @pytest.mark.parametrize("shortest", [0, 2, 4])
 def test_cleaning_by_hand_on_whole_texts(spark, sf, shortest):
-    words = schema.default_stopwords()
+    words = schema.STOPWORDS
     lines = spark.read.parquet(f"{sf}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("text"))
     extra = spark.createDataFrame(
         [(" , a,, b ,c, ",), ("word glued\tby,  spaces",), ("1 22 333 4444 55555, 666666",), ("naïve Straße ÉTÉ",)],
@@ -61,7 +61,7 @@ WORDS = st.sampled_from(["which", "Their", "about", "whichever", "house", "a", "
 def test_cleaning_by_hand_on_random_texts(spark, pieces):
     texts = ["".join(p) for p in pieces]
     df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
-    stopwords = set(schema.default_stopwords())
+    stopwords = set(schema.STOPWORDS)
     for r in df.withColumn("c", T.clean_text(F.col("text"))).collect():
         assert r["c"] == by_hand(r["text"], 4, stopwords), repr(r["text"])
 
