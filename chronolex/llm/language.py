@@ -68,7 +68,8 @@ class Model:
         self.symbols = np.zeros(0x110000, dtype=np.uint8)
         for symbol, character in enumerate(frequent, 1):
             self.symbols[ord(character)] = symbol
-        # One table for all: state * SYMBOLS + symbol -> next state * 2 SYMBOLS + 1 if a phrase ended.
+        # One table for all: state * SYMBOLS + symbol -> next state * SYMBOLS, times 4, plus phrases ended:
+        # the one under way, and the symbol itself if the language has never seen it.
         tables, self.starts, self.sizes, offset = [], [], [], 0
         for language in self.languages:
             sequence = [s for t in texts[language] for s in self.encode(t).tolist() if s]
@@ -76,7 +77,8 @@ class Model:
             root = np.maximum(table[0], 0)
             ends = table < 0
             following = np.where(ends, root[None, :], table)
-            tables.append(((following + offset) * SYMBOLS * 2 + ends).astype(np.int32))
+            phrases = np.where(ends, (np.arange(len(table)) > 0)[:, None] + (table[0] < 0)[None, :].astype(np.int32), 0)
+            tables.append(((following + offset) * SYMBOLS * 4 + phrases).astype(np.int32))
             self.starts.append(offset)
             self.sizes.append(max(2, len(sequence)))
             offset += len(table)
@@ -115,10 +117,10 @@ class Model:
                 if not n:
                     break
                 to = self.table.take(state[:n] + columns[step, :n])
-                ended[:n] += to & 1
-                state[:n] = to >> 1
+                ended[:n] += to & 3
+                state[:n] = to >> 2
             # The phrase under way at a block's end counts as well.
-            total[:, k] = np.bincount(owner[order], weights=ended + 1, minlength=len(texts))
+            total[:, k] = np.bincount(owner[order], weights=ended + (state != start * SYMBOLS), minlength=len(texts))
         return total, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
