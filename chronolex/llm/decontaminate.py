@@ -189,7 +189,8 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text") -> np.ndarray:
     of their text if there are more. What is gathered is terms x (RANK + OVERSAMPLE) numbers, whatever
     the corpus. Runs actions.
     """
-    terms, width = len(items.vocabulary), RANK + OVERSAMPLE
+    terms = len(items.vocabulary)
+    width = min(RANK + OVERSAMPLE, terms)
     test = np.random.default_rng(SEED).normal(size=(terms, width)).astype(np.float32)
     spark = docs.sparkSession
     # One partial sum per task, so tasks are as many as the cluster keeps busy and not as many as files.
