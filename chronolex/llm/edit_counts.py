@@ -68,6 +68,11 @@ def _pieces(texts: list[str], path: str):
         yield from zip(np.split(tokens, ends[:-1]), np.split(chars, ends[:-1]))
 
 
+def _whole(number: float | None) -> int:
+    """An integer that pandas may have turned into a float beside NULLs; NULL and negative ones are 0."""
+    return 0 if number is None or number != number else max(int(number), 0)
+
+
 def build(text: Column, path: str | None = None) -> Column:
     """The tree of each text: struct of `leaf_chars` and `sums`; NULL counts as empty."""
     path = path or default_path()
@@ -107,8 +112,8 @@ def apply_edits(text: Column, tree: Column, edits: Column, path: str | None = No
             for k, edit in enumerate(e[turn] if turn < len(e) else None for e in todo):
                 if edit is None:
                     continue
-                pos = min(max(edit["pos"] or 0, 0), len(new[k]))
-                removed = min(max(edit["removed"] or 0, 0), len(new[k]) - pos)
+                pos = min(_whole(edit["pos"]), len(new[k]))
+                removed = min(_whole(edit["removed"]), len(new[k]) - pos)
                 added = edit["added"] or ""
                 first, last, start, end = own[k].region(pos, removed)
                 new[k] = new[k][:pos] + added + new[k][pos + removed :]
