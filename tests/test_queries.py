@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from chronolex.plans import all_queries
 from compare import difference, duck
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+# The engine's own queries; the operators of the training-data package have tests of their own.
+QUERIES = {name: query for name, query in entry.queries().items() if name in all_queries.QUERIES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def test_query_equals_sql(spark, sf, connection, name):
     assert difference(QUERIES[name](spark, sf), connection, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", ["tfidf_features", "feature_model_roundtrip", "contract_features"])
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
 
