@@ -15,7 +15,7 @@ LOOSE = rf"{SPACE}{SPACE}|{SPACE}$"  # RE2; such a text is cut with care
 CUT = re.compile(r" (?=\S)")
 # Letters and one stop or comma: two pre-tokens.
 MARKED = "^[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]$"
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 40
 
 
@@ -138,7 +138,7 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-def slices(texts: pa.Array, limit: int = 12_000_000):
+def slices(texts: pa.Array, limit: int = 4_000_000):
     """(start, stop) of runs of texts with about `limit` bytes each, one text at least."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, size = 0, 0

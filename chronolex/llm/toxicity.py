@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chronolex.llm.samples import held_out, labelled_texts
 
 # Bounds on what is learned from; every window of every whole text is scored.
-TEXTS_PER_LABEL = 2500
-CHARACTERS_PER_TEXT = 12_000
+TEXTS_PER_LABEL = 2000
+CHARACTERS_PER_TEXT = 8_000
 WINDOW = 32
 STRIDE = 24
 HIDDEN = 8
@@ -19,7 +19,7 @@ WORD_ROWS = 1 << 16
 GRAM_ROWS = 1 << 14
 DIMS = 4
 FOLDS = 4
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 LANES = 1024
 WORD = re.compile(r"\w+")
 SEED = 7
@@ -57,21 +57,32 @@ def window_starts(n: int) -> np.ndarray:
     return np.append(np.arange(0, n - WINDOW, STRIDE), n - WINDOW)
 
 
+class Seen:
+    """Which rows of the word and trigram tables each labelled text holds."""
+
+    def __init__(self, vocabulary: list[str], texts: list[np.ndarray]):
+        rows, (grams, begin) = word_rows(vocabulary), gram_rows(vocabulary)
+        lengths = np.diff(np.append(begin, len(grams)))
+        self.words, self.grams = [], []
+        for ids in texts:
+            own = np.unique(ids)
+            self.words.append(np.unique(rows[own]).astype(np.int32))
+            shift = begin[own] - (np.cumsum(lengths[own]) - lengths[own])
+            flat = np.repeat(shift, lengths[own]) + np.arange(lengths[own].sum())
+            self.grams.append(np.unique(grams[flat]).astype(np.int32))
+
+
 class Inputs:
     """Word and character inputs: shrunken log odds of words and of character trigrams in labelled texts."""
 
-    def __init__(self, toxic: list[list[str]], clean: list[list[str]]):
-        self.words, self.support = self._odds(toxic, clean, WORD_ROWS, word_rows)
-        self.grams, _ = self._odds(toxic, clean, GRAM_ROWS, lambda words: gram_rows(words)[0])
+    def __init__(self, seen: Seen, toxic: np.ndarray, clean: np.ndarray):
+        """From the texts whose numbers are given."""
+        self.words, self.support = self._odds(seen.words, toxic, clean, WORD_ROWS)
+        self.grams, _ = self._odds(seen.grams, toxic, clean, GRAM_ROWS)
 
     @staticmethod
-    def _odds(toxic: list, clean: list, size: int, rows_of) -> tuple[np.ndarray, np.ndarray]:
-        seen = np.zeros((2, size))
-        for k, texts in enumerate((toxic, clean)):
-            for words in texts:
-                if words:
-                    seen[k, np.unique(rows_of(sorted(set(words))))] += 1
-        a, b = seen
+    def _odds(rows: list, toxic: np.ndarray, clean: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = (np.bincount(np.concatenate([np.empty(0, np.int32), *(rows[k] for k in own)]).astype(np.int64), minlength=size) for own in (toxic, clean))
         odds = np.log((a + 1) / (len(toxic) + 2)) - np.log((b + 1) / (len(clean) + 2))
         return (np.clip(odds, -2, 6) * (a + b) / (a + b + 4) / 2).astype(np.float32), np.log1p(a + b).astype(np.float32) / 4
 
@@ -255,29 +266,27 @@ def train(rows: list, steps: int = 300, batch: int = 128, rate: float = 0.01, se
     rng = np.random.default_rng(seed)
     network = Network(seed)
     labels = np.array([1.0 if row[1] else 0.0 for row in rows])
-    words = [words_of(row[2]) for row in rows]
+    index: dict[str, int] = {}
+    texts = [np.array([index.setdefault(w, len(index)) for w in words_of(row[2])], dtype=np.int32) for row in rows]
+    vocabulary = list(index)
+    seen = Seen(vocabulary, texts)
     folds = np.empty(len(rows), dtype=np.int64)
     for label in (0, 1):
         own = np.flatnonzero(labels == label)
         folds[own] = rng.permutation(len(own)) % FOLDS
 
     def inputs(chosen: np.ndarray) -> Inputs:
-        return Inputs(*([words[k] for k in np.flatnonzero(chosen & (labels == y))] for y in (1, 0)))
+        return Inputs(seen, *(np.flatnonzero(chosen & (labels == y)) for y in (1, 0)))
 
     network.inputs = inputs(np.ones(len(rows), dtype=bool))
     if not len(rows) or labels.min() == labels.max():
         network.scale[2] = 4 if len(rows) and labels[0] else -4
         return network
-    # Rows of x: a blank, then the words of each fold with their inputs from the other folds.
-    parts, index, size = [np.zeros((1, DIMS), np.float32)], [], 1
-    for fold in range(FOLDS):
-        vocabulary = sorted(set().union(*(words[k] for k in np.flatnonzero(folds == fold))))
-        index.append(dict(zip(vocabulary, range(size, size + len(vocabulary)))))
-        parts.append(inputs(folds != fold).of(vocabulary))
-        size += len(vocabulary)
-    x, tables = np.concatenate(parts), []
-    for own, fold in zip(words, folds):
-        ids = np.array([index[fold][w] for w in own], dtype=np.int64)
+    # Rows of x: a blank, then the vocabulary once per fold, with inputs from the other folds.
+    x = np.concatenate([np.zeros((1, DIMS), np.float32), *(inputs(folds != fold).of(vocabulary) for fold in range(FOLDS))])
+    tables = []
+    for own, fold in zip(texts, folds):
+        ids = own + np.int32(1 + fold * len(vocabulary))
         ids = np.pad(ids, (0, max(0, WINDOW - len(ids))))
         tables.append(ids[window_starts(len(own))[:, None] + np.arange(WINDOW)])
     counts = np.array([len(t) for t in tables])
