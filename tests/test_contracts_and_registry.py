@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -18,7 +20,9 @@ def test_unexpected_labels_skip_null(spark):
 
 
 def test_raw_report(spark):
-    df = spark.createDataFrame([("s", "1", "short"), (None, "2", "long enough text")], "series string, issue string, text string")
+    date = datetime.date(1869, 1, 1)
+    rows = [("s", "1", date, "short"), (None, "2", date, "long enough text")]
+    df = spark.createDataFrame(rows, "series string, issue string, date date, text string")
     report = C.stage_report(df, "raw", 3)
     assert failed(report) == {"row_count", "null_series", "text_length_out_of_bounds"}
     assert not C.validate(report)
