@@ -97,8 +97,8 @@ def test_vocabulary_drift_statuses(spark):
     rows = [(1, 1869, 0.0, ["old"] * 6 + ["both"] * 5 + ["rare"] * 4), (2, 1870, 0.0, ["new"] * 5 + ["both"] * 2)]
     drift = TM.vocabulary_drift(docs(spark, rows), 1869, [1870])
     assert rows_of(drift, "term", "ref_tf", "cur_tf", "status") == [
-        ("both", 5, 2, "kept"), ("new", 0, 5, "new"), ("old", 6, 0, "gone"),
+        ("both", 5, 2, "kept"), ("new", 0, 5, "new"), ("old", 6, 0, "gone"), ("rare", 4, 0, "gone"),
     ]
     summary = TM.vocabulary_drift_summary(drift).head()
-    assert (summary["new_terms"], summary["gone_terms"], summary["kept_terms"]) == (1, 1, 1)
-    assert summary["jaccard"] == pytest.approx(1 / 3)
+    assert (summary["new_terms"], summary["gone_terms"], summary["kept_terms"]) == (1, 2, 1)
+    assert summary["jaccard"] == pytest.approx(1 / 4)
