@@ -66,35 +66,39 @@ def branches(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
         "tree", "node", F.col("_n").alias("up"), F.lit(1).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("total")
     )
     steps = [materialize(up, "steps")]
-    rows = None
+    # Nodes that have met their root are done; only the others are joined again.
+    rooted, rows = steps[0].filter("up IS NULL"), None
     while True:
-        last = steps[-1]
-        open_rows = last.filter("up IS NOT NULL").count()
+        standing = steps[-1].filter("up IS NOT NULL")
+        open_rows = standing.count()
         # Each round some node that is not in a cycle meets its root.
         if open_rows in (0, rows):
             break
         rows = open_rows
-        there = last.select(
-            F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("total").alias("_s")
+        there = rooted.unionByName(standing).select(
+            F.col("tree").alias("_t"),
+            F.col("node").alias("_n"),
+            F.col("up").alias("_up"),
+            F.col("depth").alias("_d"),
+            F.col("total").alias("_s"),
         )
-        met = (F.col("tree").eqNullSafe(F.col("_t"))) & (F.col("up") == F.col("_n"))
-        # A node that has met its root keeps its sums; the others add those of the ancestor they stand at.
-        longer = last.join(there, met, "left").select(
+        met = _same_tree("_t") & (F.col("up") == F.col("_n"))
+        longer = standing.join(there, met).select(
             "tree",
             "node",
             F.col("_up").alias("up"),
-            (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_s", F.lit(0.0))).alias("total"),
+            (F.col("depth") + F.col("_d")).alias("depth"),
+            (F.col("total") + F.col("_s")).alias("total"),
         )
         steps.append(materialize(longer, "steps"))
-    rooted = steps[-1].filter("up IS NULL")
+        rooted = rooted.unionByName(steps[-1].filter("up IS NULL"))
     replied = nodes.filter("parent IS NOT NULL").select(F.col("tree").alias("_t"), F.col("parent").alias("_n")).distinct()
     leaf = rooted.join(replied, _same_tree("_t") & (F.col("node") == F.col("_n")), "left_anti")
     rank = Window.partitionBy("tree").orderBy(F.col("total").desc(), "node")
     best = leaf.withColumn("branch", F.row_number().over(rank)).filter(F.col("branch") <= per_tree)
     path = materialize(best.select("tree", "branch", "node", "depth"), "paths")
     # From the longest step to the shortest: each row of a path adds the ancestor one step up.
-    for step in reversed(steps[:-1]):
+    for step in reversed(steps):
         one = step.filter("up IS NOT NULL").select(
             F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"), F.col("depth").alias("_d")
         )
