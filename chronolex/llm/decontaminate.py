@@ -339,6 +339,8 @@ def _search_column(text: Column, shared: Broadcast) -> Column:
         for start, stop in _runs(whole):
             for own in shared.value.find(whole.slice(start, stop - start)):
                 found.append([{"item_id": ids[k], "share": s} for k, s in sorted(own.items())])
+        del whole
+        pa.default_memory_pool().release_unused()
         return pd.Series(found, dtype=object)
 
     return search(text)

@@ -47,6 +47,7 @@ def _writer(folder: str, path: str, end_id: int):
                 doc_ids = pc.fill_null(batch.column("id"), int(NO_ID)).to_numpy()
                 out["docs"].write(doc_ids.astype("<i8").tobytes())
                 docs += len(batch)
+                pa.default_memory_pool().release_unused()
         if docs:
             values = [pa.array([name]), first, pa.array([docs]), pa.array([tokens]), pa.array([bpe.dtype.itemsize])]
             yield pa.RecordBatch.from_arrays(values, names=["file", "first", "docs", "tokens", "width"])
