@@ -68,22 +68,19 @@ class Items:
     def __init__(self, rows: list):
         self.ids = [row[0] for row in rows]
         flat, counts = words_of(pa.array([row[1] for row in rows], pa.large_string()))
-        coded = flat.dictionary_encode()
+        answers, answer_counts = words_of(pa.array([row[2] for row in rows], pa.large_string()))
+        coded = pa.concat_arrays([flat, answers]).dictionary_encode()
         self.vocabulary = coded.dictionary
-        self.terms = np.split(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(counts)[:-1])
-        self.answers = [self._answer(row[2], own) for row, own in zip(rows, self.terms)]
-
-    def _answer(self, answer: str | None, own: np.ndarray) -> np.ndarray:
-        """Terms of the answer if there is one, else the item's last words."""
-        if answer:
-            flat, _ = words_of(pa.array([answer], pa.large_string()))
-            at = pc.fill_null(pc.index_in(flat, self.vocabulary), -1).to_numpy(zero_copy_only=False)
-            # A word that no item has is a number of its own, which no text matches.
-            return np.where(at < 0, -2, at)
-        return own[-ANSWER_WORDS:]
+        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # Terms of item texts come first; those from `searched` on are in answers only and in no latent vector.
+        self.searched = int(at[: len(flat)].max(initial=-1)) + 1
+        self.terms = np.split(at[: len(flat)], np.cumsum(counts)[:-1])
+        given = np.split(at[len(flat) :], np.cumsum(answer_counts)[:-1])
+        # Terms of the answer if there is one, else the item's last words.
+        self.answers = [own if row[2] else terms[-ANSWER_WORDS:] for row, own, terms in zip(rows, given, self.terms)]
 
     def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Term of each word, -1 for words that no item has, and words per text."""
+        """Term of each word, -1 for words that no item or answer has, and words per text."""
         flat, counts = words_of(texts)
         at = pc.fill_null(pc.index_in(flat, self.vocabulary), -1)
         return at.to_numpy(zero_copy_only=False), counts
@@ -140,12 +137,13 @@ def _sketch(items: Items, test: np.ndarray):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = len(items.vocabulary), 0
+        terms, total = items.searched, 0
         sums = np.zeros((terms, 1 + test.shape[1]))
         for batch in batches:
             taught = batch.column(1).to_numpy(zero_copy_only=False)
             for start, stop in _runs(batch.column(0)):
                 codes, counts = items.codes(batch.column(0).slice(start, stop - start))
+                codes = np.where(codes < terms, codes, -1)
                 per_text = -(-counts // PASSAGE)
                 places = _places(counts)
                 passage = np.repeat(np.cumsum(per_text) - per_text, counts) + places // PASSAGE
@@ -189,7 +187,7 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text") -> np.ndarray:
     of their text if there are more. What is gathered is terms x (RANK + OVERSAMPLE) numbers, whatever
     the corpus. Runs actions.
     """
-    terms = len(items.vocabulary)
+    terms = items.searched
     width = min(RANK + OVERSAMPLE, terms)
     test = np.random.default_rng(SEED).normal(size=(terms, width)).astype(np.float32)
     spark = docs.sparkSession
@@ -269,6 +267,7 @@ class Search:
         places = _places(counts)
         cell = np.repeat(begin, counts) + places // CELL
         total = int(cells.sum())
+        codes = np.where(codes < self.items.searched, codes, -1)
         sums = _slot_sums(self.vectors, codes, cell * CELL + places % CELL, total, CELL)
         owner = np.repeat(np.arange(len(counts)), cells)
         filled = np.bincount(cell[codes >= 0], minlength=total)
@@ -319,9 +318,13 @@ class Search:
                 if not len(text):
                     continue
                 share = common(regions, np.stack([self.items.terms[k] for k in item])) / scale_size
-                for t, k, s, region in zip(text, item, share, regions):
-                    if s >= PARAPHRASE and s > found[t].get(k, 0) and (s >= SHARE or self._answered(region, k)):
-                        found[t][k] = float(s)
+                for t, k, s, first in zip(text, item, share, at[enough, 0]):
+                    if s >= PARAPHRASE and s > found[t].get(k, 0):
+                        # An answer may begin or end beside the region.
+                        more = len(self.items.answers[k])
+                        near = slice(begin[t] + max(0, first - more), begin[t] + min(counts[t], max(0, first + span + more)))
+                        if s >= SHARE or self._answered(codes[near], k):
+                            found[t][k] = float(s)
         return found
 
     def _answered(self, region: np.ndarray, item: int) -> bool:
@@ -353,7 +356,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -
     """
     columns = []
     for items in benchmark_blocks(benchmark):
-        if len(items.vocabulary):
+        if items.searched:
             search = Search(items, fit(docs, items, text_col))
             columns.append(_search_column(F.col(text_col), docs.sparkSession.sparkContext.broadcast(search)))
     return F.concat(*columns) if columns else None

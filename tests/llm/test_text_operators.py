@@ -267,6 +267,17 @@ def test_answer_makes_a_paraphrase_a_leak(spark):
     assert got[0] and (share >= decontaminate.SHARE or not got[2])
 
 
+def test_answer_of_words_that_no_item_has(spark):
+    item = "what is the name of the tallest tower in that old town by the river"
+    half = "what is the name of the highest spire in a small town by the river"
+    assert decontaminate.PARAPHRASE + 0.05 < brute_share(half, item) < decontaminate.SHARE - 0.05
+    answer = "aurelian needle of saint quirin built long before the great flood came"
+    bench = spark.createDataFrame([(1, item, answer), (2, None, "needle")], "item_id long, text string, answer string")
+    docs = table(spark, [f"say {half} it is the {answer} of course", f"say {half} nobody knows", f"the {answer}"])
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {0: [1], 1: [], 2: []}
+
+
 # --- licences -------------------------------------------------------------------------------------
 
 
