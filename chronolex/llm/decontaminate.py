@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 RANK = 64
 OVERSAMPLE = 8
-# Documents whose passages teach the latent space; frequencies count all documents, and all are searched.
-TAUGHT_DOCUMENTS = 20_000
 # Words of a passage whose co-occurrences are learned, and of the cells that windows are made of.
 PASSAGE = 32
 CELL = 8
@@ -25,6 +23,7 @@ PARAPHRASE = 0.6  # the same if the answer is there, too
 ANSWER_WORDS = 5
 ITEMS_PER_BLOCK = 500
 TERMS_PER_SUM = 2048
+WORDS_PER_SUM = 16_384
 SEED = 11
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -133,14 +132,13 @@ def _slot_sums(vectors: np.ndarray, codes: np.ndarray, slots: np.ndarray, count:
 def _sketch(items: Items, test: np.ndarray):
     """Per task: passages, passages with each term, and C'C times the test matrix.
 
-    C holds the term counts of the passages of the texts that are marked as taught.
+    C holds the term counts of the passages of all texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total = items.searched, 0
         sums = np.zeros((terms, 1 + test.shape[1]))
         for batch in batches:
-            taught = batch.column(1).to_numpy(zero_copy_only=False)
             for start, stop in _runs(batch.column(0)):
                 codes, counts = items.codes(batch.column(0).slice(start, stop - start))
                 codes = np.where(codes < terms, codes, -1)
@@ -152,14 +150,19 @@ def _sketch(items: Items, test: np.ndarray):
                 # A term counts once per passage.
                 pairs = np.sort(passage[known] * terms + codes[known])
                 sums[:, 0] += np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % terms, minlength=terms)
-                codes = np.where(np.repeat(taught[start:stop], counts), codes, -1)
-                known = codes >= 0
-                if known.any():
-                    slots = passage * PASSAGE + places % PASSAGE
-                    sketched = _slot_sums(test, codes, slots, int(per_text.sum()), PASSAGE).T
-                    # What the passages of each term add up to.
-                    for column, own in enumerate(sketched, 1):
-                        sums[:, column] += np.bincount(codes[known], own[passage[known]], terms)
+                # A passage without terms adds nothing.
+                used, passage = np.unique(passage[known], return_inverse=True)
+                if len(used):
+                    slots = passage * PASSAGE + places[known] % PASSAGE
+                    own = codes[known]
+                    sketched = _slot_sums(test, own, slots, len(used), PASSAGE)
+                    # What the passages of each term add up to, some words at a time.
+                    order = np.argsort(own, kind="stable")
+                    for at in range(0, len(order), WORDS_PER_SUM):
+                        part = order[at : at + WORDS_PER_SUM]
+                        term = own[part]
+                        first = np.flatnonzero(np.diff(term, prepend=-1))
+                        sums[term[first], 1:] += np.add.reduceat(sketched[passage[part]], first, axis=0)
         if total:
             parts = [sums[i : i + TERMS_PER_SUM].tobytes() for i in range(0, terms, TERMS_PER_SUM)]
             yield pa.RecordBatch.from_arrays(
@@ -178,14 +181,13 @@ def _added(rows: pd.DataFrame) -> pd.DataFrame:
 def fit(docs: DataFrame, items: Items, text_col: str = "text") -> np.ndarray:
     """Latent vectors (term, RANK) of the terms of TF-IDF passages.
 
-    A randomised SVD in one pass: every task counts the passages of each term, over all documents, and
-    multiplies the term counts C of the passages it is taught by a random matrix and back, C'(C test);
+    A randomised SVD in one pass: every task counts the passages of each term and multiplies the term
+    counts C of its passages by a random matrix and back, C'(C test), over all documents, however many;
     the sums are added up in two rounds. With W the inverse passage frequencies, W C'C W is the Gram
     matrix of the TF-IDF passages, and W times the sketch is that matrix times W^-1 test, whence its
     leading eigenvectors by a Nystrom step. A passage's coordinates are divided by the singular values,
-    so that no direction rules the cosine. Taught are all documents, or about TAUGHT_DOCUMENTS of them by a hash
-    of their text if there are more. What is gathered is terms x (RANK + OVERSAMPLE) numbers, whatever
-    the corpus. Runs actions.
+    so that no direction rules the cosine. What is gathered is terms x (RANK + OVERSAMPLE) numbers,
+    whatever the corpus. Runs actions.
     """
     terms = items.searched
     width = min(RANK + OVERSAMPLE, terms)
@@ -194,9 +196,7 @@ def fit(docs: DataFrame, items: Items, text_col: str = "text") -> np.ndarray:
     # One partial sum per task, so tasks are as many as the cluster keeps busy and not as many as files.
     tasks = max(64, 4 * spark.sparkContext.defaultParallelism)
     schema = "part long, passages long, sums binary"
-    share = min(1.0, TAUGHT_DOCUMENTS / max(1, docs.count()))
-    taught = F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30))
-    texts = docs.select(F.col(text_col).cast("string"), taught).coalesce(tasks)
+    texts = docs.select(F.col(text_col).cast("string")).coalesce(tasks)
     partial = texts.mapInArrow(_sketch(items, test), schema)
     salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(int(tasks**0.5))))
     once = salted.groupBy("part", "salt").applyInPandas(lambda rows: _added(rows), schema)

@@ -278,6 +278,39 @@ def test_answer_of_words_that_no_item_has(spark):
     assert got == {0: [1], 1: [], 2: []}
 
 
+def test_every_document_teaches_the_latent_space(spark):
+    rare = " ".join(f"rare{i}" for i in range(24))
+    common = " ".join(f"word{i % 40}" for i in range(60))
+    bench = spark.createDataFrame([(1, rare), (2, common)], "item_id long, text string")
+    # 24,003 documents, a third of them copies of one text, three with the rare words.
+    made = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("one text of " + common)).otherwise(
+            F.concat(F.lit("text "), F.col("id").cast("string"), F.lit(" has word"), (F.col("id") % 40).cast("string"), F.lit(" in it"))
+        ).alias("text")
+    )
+    docs = made.unionByName(spark.createDataFrame([(f"see {i} {rare}",) for i in range(3)], "text string"))
+    items = next(decontaminate.benchmark_blocks(bench))
+    sums, texts = 0, [r["text"] for r in docs.collect()]
+    test = np.random.default_rng(0).normal(size=(len(items.vocabulary), 5)).astype(np.float32)
+    counts = np.zeros((len(items.vocabulary), len(items.vocabulary)))
+    for text in texts:
+        codes = items.codes(pa.array([text], pa.large_string()))[0]
+        for at in range(0, len(codes), decontaminate.PASSAGE):
+            own = codes[at : at + decontaminate.PASSAGE]
+            row = np.bincount(own[own >= 0], minlength=len(items.vocabulary))
+            counts += np.outer(row, row)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    for part in decontaminate._sketch(items, test)(iter([batch])):
+        sums = np.concatenate([np.frombuffer(b).reshape(-1, 6) for b in part.column(2).to_pylist()])
+    assert np.allclose(sums[:, 1:], counts @ test, rtol=1e-3, atol=1e-2 * np.abs(counts).max() ** 0.5)
+    vectors = decontaminate.fit(docs, items)
+    known = items.vocabulary.to_pylist()
+    norms = np.linalg.norm(vectors, axis=1)
+    assert min(norms[known.index(f"rare{i}")] for i in range(24)) > 0.05 * np.median(norms)
+    found = {(r["text"], r["item_id"]) for r in decontaminate.leaks(docs, bench, "text").filter("contaminated").collect()}
+    assert found == {(f"see {i} {rare}", 1) for i in range(3)} | {("one text of " + common, 2)}
+
+
 # --- licences -------------------------------------------------------------------------------------
 
 
