@@ -14,10 +14,19 @@ RANK = 64
 OVERSAMPLE = 8
 # Words of a passage whose co-occurrences are learned, and of the cells that windows are made of.
 PASSAGE = 32
-CELL = 8
-# Windows of 8, 16, 32 and 64 words; a longer item is searched for in parts of the longest window.
-SCALES = (1, 2, 4, 8)
-COSINE = 0.6
+CELL = 4
+# Windows of 4 to 64 words, in cells; an item is searched for in windows of about its own length, a longer
+# one in parts of the longest window. Each scale is the sum of the one before and another one.
+SCALES = (1, 2, 3, 4, 6, 8, 12, 16)
+# A window is a candidate at MARGIN times the cosine of a paraphrase among unrelated words in the worst place.
+MARGIN = 0.75
+# Words between the places that are compared.
+PLACE = 8
+# Words in a row that make a candidate whatever the cosine, so that no verbatim item depends on it.
+SEED_WORDS = 4
+WINDOWS_AT_ONCE = 4096
+WORD_BITS = 64
+SEARCHED_BYTES = 400_000
 SHARE = 0.8  # of an item's words, in order, that make a leak
 PARAPHRASE = 0.6  # the same if the answer is there, too
 ANSWER_WORDS = 5
@@ -232,101 +241,194 @@ def common(regions: np.ndarray, items: np.ndarray) -> np.ndarray:
     return best[:, -1]
 
 
+def _overlap(n: int, window: int) -> float:
+    """Words of a passage of n words in the best of the windows that begin every CELL words, at the worst."""
+    return max(1.0, min(n, window, (n + window - CELL) / 2))
+
+
+def _run_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of `size` codes."""
+    hashes = np.zeros(max(0, len(codes) - size + 1), dtype=np.int64)
+    for k in range(size):
+        hashes = hashes * np.int64(0x5851F42D4C957F2D) + codes[k : k + len(hashes)]
+    return hashes
+
+
 class Search:
     """Finds the items of a block in whole texts."""
 
     def __init__(self, items: Items, vectors: np.ndarray):
         self.items, self.vectors = items, vectors
         self.sizes = np.array([len(t) for t in items.terms])
-        # Which terms an item has; the last column is for words that no item has.
-        self.holds = np.zeros((len(items.ids), len(items.vocabulary) + 1), dtype=bool)
+        # Number of a term among an item's, 0 if it has it not; the last column is for words that no item has.
+        kind = np.int32 if self.sizes.max(initial=0) > 30_000 else np.int16
+        self.slots = np.zeros((len(items.ids), len(items.vocabulary) + 1), dtype=kind)
+        # Where the term stands in the item, a bit per word, for items of up to WORD_BITS words.
+        self.masks = np.zeros((len(items.ids), WORD_BITS + 1), dtype=np.uint64)
         for k, terms in enumerate(items.terms):
-            self.holds[k, terms] = True
-        # Per scale: unit vectors of items, or of parts of long ones, and whose they are.
-        self.queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            distinct, number = np.unique(terms, return_inverse=True)
+            self.slots[k, distinct] = np.arange(1, len(distinct) + 1)
+            if len(terms) <= WORD_BITS:
+                np.bitwise_or.at(self.masks[k], number + 1, np.uint64(1) << np.arange(len(terms), dtype=np.uint64))
+        # Per scale: unit vectors of items, or of parts of long ones, whose they are, where the item begins
+        # as seen from the window, the least cosine, and the fewest words of items in a window.
+        self.queries: dict[int, tuple[np.ndarray, ...]] = {}
         longest = SCALES[-1] * CELL
         parts: dict[int, list] = {scale: [] for scale in SCALES}
         for k, terms in enumerate(items.terms):
             for start in range(0, len(terms), longest):
-                part = terms[start : start + longest]
-                if start and len(part) < longest // 2:
-                    part = terms[-longest:]
-                scale = next(s for s in SCALES if s * CELL >= len(part))
-                parts[scale].append((k, vectors[part].sum(axis=0)))
+                if start and len(terms) - start < longest // 2:
+                    start = len(terms) - longest
+                n = len(terms[start : start + longest])
+                scale = min(SCALES, key=lambda s: abs(np.log(s * CELL / n)))
+                vector = vectors[terms[start : start + longest]].sum(axis=0)
+                overlap = _overlap(n, scale * CELL)
+                bound = MARGIN * PARAPHRASE * overlap / np.sqrt(n * scale * CELL)
+                parts[scale].append((vector, k, (scale * CELL - n) // 2 - start, bound, PARAPHRASE * n - (n - overlap)))
         for scale, own in parts.items():
             if own:
-                matrix = np.stack([v for _, v in own])
+                matrix, *rest = (np.array(column) for column in zip(*own))
                 norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-                self.queries[scale] = (matrix / np.maximum(norms, 1e-9)).astype(np.float32), np.array([k for k, _ in own])
+                self.queries[scale] = ((matrix / np.maximum(norms, 1e-9)).astype(np.float32), *rest)
+        self.seeds = self._seeds()
+
+    def _seeds(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per length: sorted hashes of runs of SEED_WORDS words of items, or of shorter whole ones, items, places."""
+        runs: dict[int, list] = {}
+        for k, terms in enumerate(self.items.terms):
+            size = min(len(terms), SEED_WORDS)
+            if size:
+                hashes = _run_hashes(terms, size)
+                runs.setdefault(size, []).append((hashes, np.full(len(hashes), k), np.arange(len(hashes))))
+        found = []
+        for size, own in runs.items():
+            hashes, item, place = (np.concatenate(column) for column in zip(*own))
+            order = np.argsort(hashes, kind="stable")
+            found.append((size, hashes[order], item[order], place[order]))
+        return found
+
+    def _seeded(self, codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, item, word where the item would begin) for each run of words that a text shares with an item."""
+        left = np.repeat(np.cumsum(counts), counts) - np.arange(len(codes))
+        for size, hashes, item, place in self.seeds:
+            if len(codes) < size:
+                continue
+            known = left[: len(codes) - size + 1] >= size
+            for k in range(size):
+                known &= codes[k : len(codes) - size + 1 + k] >= 0
+            at = np.flatnonzero(known)
+            own = _run_hashes(codes, size)[at]
+            first = np.searchsorted(hashes, own)
+            hit = np.flatnonzero(hashes[np.minimum(first, len(hashes) - 1)] == own)
+            at, first, last = at[hit], first[hit], np.searchsorted(hashes, own[hit], side="right")
+            many = last - first
+            row = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            at = np.repeat(at, many)
+            text = np.searchsorted(np.cumsum(counts), at, side="right")
+            yield text, item[row], at - (np.cumsum(counts) - counts)[text] - place[row]
 
     def candidates(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Distinct (text, item, cell) where a window of the item's scale that starts at the cell is similar."""
+        """Distinct (text, item, place) where the item may begin: a similar window, or a run of its words.
+
+        A place is PLACE words and may lie before the text.
+        """
+        codes = np.where(codes < self.items.searched, codes, -1)
         gap = SCALES[-1]  # blank cells between texts, so that no window sees two
         cells = -(-counts // CELL) + gap
         begin = np.cumsum(cells) - cells
         places = _places(counts)
         cell = np.repeat(begin, counts) + places // CELL
         total = int(cells.sum())
-        codes = np.where(codes < self.items.searched, codes, -1)
-        sums = _slot_sums(self.vectors, codes, cell * CELL + places % CELL, total, CELL)
+        windows = {1: _slot_sums(self.vectors, codes, cell * CELL + places % CELL, total, CELL)}
+        filled = {1: np.bincount(cell[codes >= 0], minlength=total)}
         owner = np.repeat(np.arange(len(counts)), cells)
-        filled = np.bincount(cell[codes >= 0], minlength=total)
-        found, width = [], 1
-        for scale in SCALES:
-            while width < scale:
-                # A window of twice the width is two windows of the width.
-                sums[:-width] += sums[width:].copy()
-                filled[:-width] += filled[width:].copy()
-                width *= 2
+        lift = (int(self.sizes.max(initial=0)) + gap * CELL) // PLACE + 1  # places that an item may begin before its text
+        reach = int(cells.max(initial=0)) * CELL // PLACE + 2 * lift
+        found = []
+
+        def keep(text: np.ndarray, item: np.ndarray, word: np.ndarray) -> None:
+            found.append(np.unique((text * len(self.sizes) + item) * reach + word // PLACE + lift))
+
+        for before, scale in zip((0, *SCALES), SCALES):
+            if before:
+                # A window is the widest one so far, and one that begins where that ends.
+                for sums in (windows, filled):
+                    sums[scale] = sums[before].copy()
+                    sums[scale][:-before] += sums[scale - before][before:]
             if scale not in self.queries:
                 continue
-            queries, item = self.queries[scale]
-            # Windows with too few words for the scale's shortest item hold no leak of any.
-            least = PARAPHRASE * min(self.sizes[item].min(), scale * CELL) - CELL
-            rows = np.flatnonzero(filled >= max(1, least))
-            norms = np.sqrt(np.einsum("ij,ij->i", sums[rows], sums[rows]))
-            hit = (sums[rows] / np.maximum(norms, 1e-9)[:, None]) @ queries.T >= COSINE
-            at, column = np.divmod(np.flatnonzero(hit), hit.shape[1])
-            at = rows[at]
-            key = (owner[at] * len(self.sizes) + item[column]) * len(sums) + at - begin[owner[at]]
-            found.append(key)
+            queries, item, offset, bound, least = self.queries[scale]
+            all_rows = np.flatnonzero(filled[scale] >= max(1, least.min()))
+            for start in range(0, len(all_rows), WINDOWS_AT_ONCE):
+                rows = all_rows[start : start + WINDOWS_AT_ONCE]
+                own = windows[scale][rows]
+                norms = np.sqrt(np.einsum("ij,ij->i", own, own))
+                hit = (own / np.maximum(norms, 1e-9)[:, None]) @ queries.T >= bound.astype(np.float32)
+                at, column = np.divmod(np.flatnonzero(hit), hit.shape[1])
+                at = rows[at]
+                text = owner[at]
+                keep(text, item[column], (at - begin[text]) * CELL + offset[column])
+        for text, item, word in self._seeded(codes, counts):
+            keep(text, item, word)
         keys = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-        pair, place = np.divmod(keys, len(sums))
-        return np.stack([*np.divmod(pair, len(self.sizes)), place], axis=1)
+        pair, place = np.divmod(keys, max(1, reach))
+        return np.stack([*np.divmod(pair, len(self.sizes)), place - lift], axis=1)
 
     def find(self, texts: pa.Array) -> list[dict]:
         """Per text the items found in it, and the best of them."""
         codes, counts = self.items.codes(texts)
         begin = np.cumsum(counts) - counts
+        # Words that no item has are in the last column of the slots.
+        padded = np.where(codes < 0, len(self.items.vocabulary), codes)
+        padded = np.append(padded, np.full(4 * WORD_BITS, len(self.items.vocabulary)))
         found: list[dict] = [{} for _ in range(len(counts))]
         rows = self.candidates(codes, counts)
         sizes = self.sizes
-        for scale_size in np.unique(sizes[rows[:, 1]]) if len(rows) else []:
-            own = rows[sizes[rows[:, 1]] == scale_size]
-            # The window and a cell around it; around a part of a long item, the whole item.
-            scale = next((s * CELL for s in SCALES if s * CELL >= scale_size), SCALES[-1] * CELL)
-            around = CELL + max(0, int(scale_size) - scale)
-            span = scale + 2 * around
-            for start in range(0, len(own), 2000):
-                text, item, cell = own[start : start + 2000].T
-                at = (cell * CELL - around)[:, None] + np.arange(span)
-                inside = (at >= 0) & (at < counts[text][:, None])
-                regions = np.where(inside, codes[np.where(inside, begin[text][:, None] + at, 0)], -1)
-                # Fewer of the item's words than a leak needs: no order of them can be one.
-                enough = np.flatnonzero(self.holds[item[:, None], regions].sum(axis=1) >= PARAPHRASE * scale_size)
-                text, item, regions = text[enough], item[enough], regions[enough]
-                if not len(text):
-                    continue
-                share = common(regions, np.stack([self.items.terms[k] for k in item])) / scale_size
-                for t, k, s, first in zip(text, item, share, at[enough, 0]):
-                    if s >= PARAPHRASE and s > found[t].get(k, 0):
+        for size in np.unique(sizes[rows[:, 1]]) if len(rows) else []:
+            own = rows[sizes[rows[:, 1]] == size]
+            # Where the item would be, and half its length and a place on either side.
+            around = PLACE + int(size) // 2
+            span = int(size) + 2 * around
+            some = WINDOWS_AT_ONCE if size <= WORD_BITS else max(1, min(2000, 1_000_000 // span))
+            for start in range(0, len(own), some):
+                text, item, place = own[start : start + some].T
+                low = np.maximum(place * PLACE - around, 0)
+                length = np.minimum(place * PLACE - around + span, counts[text]) - low
+                if size <= WORD_BITS:
+                    share = self._common(padded, begin[text] + low, length, item) / size
+                else:
+                    at = np.minimum(np.arange(span), np.maximum(length - 1, 0)[:, None])
+                    inside = np.arange(span) < length[:, None]
+                    regions = np.where(inside, padded[(begin[text] + low)[:, None] + at], len(self.items.vocabulary))
+                    # Fewer of the item's words than a leak needs: no order of them can be one.
+                    enough = np.flatnonzero((self.slots[item[:, None], regions] > 0).sum(axis=1) >= PARAPHRASE * size)
+                    share = np.zeros(len(item))
+                    if len(enough):
+                        terms = np.stack([self.items.terms[k] for k in item[enough]])
+                        share[enough] = common(regions[enough], terms) / size
+                for row in np.flatnonzero(share >= PARAPHRASE):
+                    t, k, s = text[row], item[row], share[row]
+                    if s > found[t].get(k, 0):
                         # An answer may begin or end beside the region.
                         more = len(self.items.answers[k])
-                        near = slice(begin[t] + max(0, first - more), begin[t] + min(counts[t], max(0, first + span + more)))
+                        near = slice(begin[t] + max(0, low[row] - more), begin[t] + min(counts[t], low[row] + length[row] + more))
                         if s >= SHARE or self._answered(codes[near], k):
                             found[t][k] = float(s)
         return found
 
+    def _common(self, padded: np.ndarray, first: np.ndarray, length: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """As common(), for items of up to WORD_BITS words: a bit per word of the item, one step per word of the text."""
+        width, deep = self.slots.shape[1], self.masks.shape[1]
+        slots, masks = self.slots.ravel(), self.masks.ravel()
+        row, own = item * width, item * deep
+        state = np.full(len(item), ~np.uint64(0))
+        for step in range(int(length.max(initial=0))):
+            mask = masks[own + slots[row + padded[first + step]]]
+            mask[step >= length] = 0
+            kept = state & mask
+            state = (state + kept) | (state - kept)
+        return np.bitwise_count(~state)
+
     def _answered(self, region: np.ndarray, item: int) -> bool:
         answer = self.items.answers[item]
         if not len(answer) or len(answer) > len(region):
@@ -339,7 +441,7 @@ def _search_column(text: Column, shared: Broadcast) -> Column:
     def search(texts: pd.Series) -> pd.Series:
         found, ids = [], shared.value.items.ids
         whole = pa.array(texts, pa.large_string(), from_pandas=True)
-        for start, stop in _runs(whole):
+        for start, stop in _runs(whole, SEARCHED_BYTES):
             for own in shared.value.find(whole.slice(start, stop - start)):
                 found.append([{"item_id": ids[k], "share": s} for k, s in sorted(own.items())])
         del whole
@@ -365,8 +467,9 @@ def found_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, contaminated, item_ids, item_id, share.
 
-    Candidates are overlapping windows of the whole text whose latent vectors are at a cosine of COSINE
-    or more to an item's. A candidate counts if the longest common subsequence of its surroundings and
+    Candidates are overlapping windows of the whole text whose latent vectors are similar to an item's: at
+    MARGIN times the cosine, or more, that a paraphrase has if its other words are unrelated and it lies
+    worst between the windows; and places where SEED_WORDS words of an item stand in a row. A candidate counts if the longest common subsequence of its surroundings and
     the item has SHARE of the item's words, or PARAPHRASE of them and the answer, word for word (the
     `answer` column, or the item's last words where there is none). `item_ids` lists the items found,
     `item_id` and `share` the best of them, on a tie the smallest id. NULL and empty texts have none;

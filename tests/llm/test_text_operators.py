@@ -278,6 +278,41 @@ def test_answer_of_words_that_no_item_has(spark):
     assert got == {0: [1], 1: [], 2: []}
 
 
+def test_recall_of_leaks_inside_running_text(spark):
+    rng = random.Random(8)
+    words = [a + b + c for a in "bcdfghklm" for b in "aeiou" for c in ("", "n", "st", "lor", "mi", "ra")]
+    items = [rng.choices(words, k=k) for k in [6, 9, 17, 25, 33, 38, 49, 64, 66, 100] * 3]
+    texts, truth, kinds = [], [], {"verbatim": (1.0, 0), "share": (decontaminate.SHARE, 0), "answer": (decontaminate.PARAPHRASE, 5)}
+    for kind, (share, tail) in kinds.items():
+        for k, item in enumerate(items * 2):
+            own, most = list(item), len(item) - int(np.ceil(share * len(item) - 1e-9))
+            for j in rng.sample(range(len(own) - tail), min(most, len(own) - tail)):
+                own[j] = rng.choice(words)
+            at, around = rng.randrange(120), rng.choices(words, k=200)
+            texts.append(" ".join(around[:at] + own + around[at:]))
+            truth.append((kind, k % len(items)))
+    bench = spark.createDataFrame([(k, " ".join(own)) for k, own in enumerate(items)], "item_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.leaks(table(spark, texts), bench).collect()}
+    found = {kind: [k in got[i] for i, (own, k) in enumerate(truth) if own == kind] for kind in kinds}
+    assert all(found["verbatim"])
+    assert np.mean(found["share"]) >= 0.95 and np.mean(found["answer"]) >= 0.9, {k: np.mean(v) for k, v in found.items()}
+
+
+def test_bits_give_the_common_subsequence():
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{k}" for k in range(12)])
+    rows = [(k, " ".join(words[rng.integers(0, 9, n)]), None) for k, n in enumerate([1, 5, 30, 63, 64])]
+    items = decontaminate.Items(rows)
+    search = decontaminate.Search(items, np.ones((items.searched, 1), np.float32))
+    texts = [" ".join(words[rng.integers(0, 12, n)]) for n in (1, 7, 40, 90)]
+    for text in texts:
+        codes, _ = items.codes(pa.array([text], pa.large_string()))
+        padded = np.append(np.where(codes < 0, len(items.vocabulary), codes), [len(items.vocabulary)] * 99)
+        own = np.arange(len(rows))
+        got = search._common(padded, np.zeros(len(rows), np.int64), np.full(len(rows), len(codes)), own)
+        assert np.allclose(got / search.sizes, [brute_share(text, row[1]) for row in rows])
+
+
 def test_every_document_teaches_the_latent_space(spark):
     rare = " ".join(f"rare{i}" for i in range(24))
     common = " ".join(f"word{i % 40}" for i in range(60))
