@@ -14,14 +14,21 @@ UNDETERMINED = "und"
 # Bounds on what is learned from; whole texts are predicted.
 TEXTS_PER_LANGUAGE = 60
 CHARACTERS_PER_TEXT = 600
+# Symbols with a column in the tables; the others' transitions are looked up among sorted keys.
 SYMBOLS = 64
+# Largest entry of a table of 32 bits; with more states the tables have 64.
+LARGEST = (1 << 31) - 1
 # A text is parsed in blocks of so many characters side by side.
 BLOCK = 256
 SHARPNESS = 12.0
 
 
-def _automaton(sequence: list[int]) -> np.ndarray:
-    """Suffix automaton as a table: state x symbol -> state, -1 where no substring goes on."""
+def _automaton(sequence: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix automaton as a table: state x symbol -> state, -1 where no substring goes on.
+
+    Symbols from SYMBOLS on are not in the table, but in sorted keys, state and symbol in 32 bits each,
+    and the states they lead to.
+    """
     following, link, length = [{}], [-1], [0]
     last = 0
     for symbol in sequence:
@@ -48,41 +55,69 @@ def _automaton(sequence: list[int]) -> np.ndarray:
                     state = link[state]
         last = new
     table = np.full((len(following), SYMBOLS), -1, dtype=np.int32)
+    rare = []
     for state, row in enumerate(following):
         for symbol, to in row.items():
-            table[state, symbol] = to
-    return table
+            if symbol < SYMBOLS:
+                table[state, symbol] = to
+            else:
+                rare.append((state << 32 | symbol, to))
+    keys, states = np.array(sorted(rare), dtype=np.int64).reshape(-1, 2).T
+    return table, np.ascontiguousarray(keys), np.ascontiguousarray(states)
 
 
 class Model:
     """An automaton per language, and the symbols they share.
 
-    Symbol 0 stands for every character that is not among the SYMBOLS - 1 most frequent of the
-    learned texts; it is in no automaton, so it is a phrase of its own.
+    Every character of the learned texts is a symbol, the most frequent ones first. Symbol 0 stands for
+    all others; it is in no automaton, so it is a phrase of its own.
     """
 
     def __init__(self, texts: dict[str, list[str]]):
         self.languages = sorted(texts)
         counts = Counter(itertools.chain.from_iterable(t.lower() for own in texts.values() for t in own))
-        frequent = [c for c, _ in sorted(counts.items(), key=lambda item: (-item[1], item[0]))[: SYMBOLS - 1]]
-        self.symbols = np.zeros(0x110000, dtype=np.uint8)
-        for symbol, character in enumerate(frequent, 1):
+        self.symbols = np.zeros(0x110000, dtype=np.int32)
+        for symbol, (character, _) in enumerate(sorted(counts.items(), key=lambda item: (-item[1], item[0])), 1):
             self.symbols[ord(character)] = symbol
         # One table for all: state * SYMBOLS + symbol -> next state * SYMBOLS, times 4, plus phrases ended:
         # the one under way, and the symbol itself if the language has never seen it.
-        tables, self.starts, self.sizes, offset = [], [], [], 0
+        automata, self.starts, self.sizes, offset = [], [], [], 0
+        # Per language, the sorted keys of the symbols that have no column, and their states.
+        self.rare: list[tuple[np.ndarray, np.ndarray]] = []
         for language in self.languages:
             sequence = [s for t in texts[language] for s in self.encode(t).tolist() if s]
-            table = _automaton(sequence)
-            root = np.maximum(table[0], 0)
-            ends = table < 0
-            following = np.where(ends, root[None, :], table)
-            phrases = np.where(ends, (np.arange(len(table)) > 0)[:, None] + (table[0] < 0)[None, :].astype(np.int32), 0)
-            tables.append(((following + offset) * SYMBOLS * 4 + phrases).astype(np.int32))
+            table, keys, states = _automaton(sequence)
+            automata.append(table)
+            self.rare.append((keys, states))
             self.starts.append(offset)
             self.sizes.append(max(2, len(sequence)))
             offset += len(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        kind = np.int32 if (offset + 1) * SYMBOLS * 4 <= LARGEST else np.int64
+        self.table = np.empty((offset, SYMBOLS), dtype=kind)
+        for start, table in zip(self.starts, automata):
+            root = np.maximum(table[0], 0)
+            ends = table < 0
+            following = np.where(ends, root[None, :], table).astype(kind)
+            phrases = np.where(ends, (np.arange(len(table)) > 0)[:, None] + (table[0] < 0)[None, :].astype(np.int32), 0)
+            self.table[start : start + len(table)] = (following + start) * SYMBOLS * 4 + phrases
+        self.table = self.table.ravel()
+
+    def _rare_step(self, language: int, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Entries as in the table, for symbols that have no column in it."""
+        (keys, states), start = self.rare[language], self.starts[language]
+        if not len(keys):
+            found, to = np.zeros(len(state), dtype=bool), np.zeros(len(state), dtype=np.int64)
+            first, root = found, to
+        else:
+            from_state = state.astype(np.int64) // SYMBOLS - start
+            (found, to), (first, root) = (
+                (keys[at] == key, states[at])
+                for key in (from_state << 32 | symbol, symbol.astype(np.int64))
+                for at in [np.minimum(np.searchsorted(keys, key), len(keys) - 1)]
+            )
+        ended = (state != start * SYMBOLS).astype(np.int64) + ~first
+        following = np.where(found, to, np.where(first, root, 0))
+        return (following + start) * SYMBOLS * 4 + np.where(found, 0, ended)
 
     def encode(self, text: str) -> np.ndarray:
         return self.symbols[np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype="<u4")]
@@ -97,7 +132,7 @@ class Model:
         sizes = np.array([len(c) for c in codes], dtype=np.int64)
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
-        padded = np.zeros(int(blocks.sum()) * BLOCK, dtype=np.uint8)
+        padded = np.zeros(int(blocks.sum()) * BLOCK, dtype=np.int32)
         begin = (np.cumsum(blocks) - blocks) * BLOCK
         for at, code in zip(begin, codes):
             padded[at : at + len(code)] = code
@@ -106,17 +141,22 @@ class Model:
         filled = np.minimum(sizes[owner] - within * BLOCK, BLOCK)
         # Fullest blocks first, so that each step works on a prefix.
         order = np.argsort(-filled, kind="stable")
-        columns = np.ascontiguousarray(grid[order].T).astype(np.int32)
+        columns = np.ascontiguousarray(grid[order].T)
+        rare = [np.flatnonzero(column >= SYMBOLS) for column in columns]
+        rare_symbols = [column[at] for column, at in zip(columns, rare)]
+        columns[columns >= SYMBOLS] = 0
         active = np.searchsorted(-filled[order], -np.arange(BLOCK), side="left")
         total = np.zeros((len(texts), len(self.languages)))
         for k, start in enumerate(self.starts):
-            state = np.full(len(owner), start * SYMBOLS, dtype=np.int32)
+            state = np.full(len(owner), start * SYMBOLS, dtype=self.table.dtype)
             ended = np.zeros(len(owner), dtype=np.int32)
             for step in range(BLOCK):
                 n = active[step]
                 if not n:
                     break
                 to = self.table.take(state[:n] + columns[step, :n])
+                if len(rare[step]):
+                    to[rare[step]] = self._rare_step(k, state[rare[step]], rare_symbols[step])
                 ended[:n] += to & 3
                 state[:n] = to >> 2
             # The phrase under way at a block's end counts as well.

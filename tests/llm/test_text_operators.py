@@ -64,6 +64,27 @@ def test_phrases_equal_longest_matches():
         assert row.tolist() == want
 
 
+@pytest.mark.parametrize("largest", [(1 << 31) - 1, 1000])
+def test_every_learned_character_counts(monkeypatch, largest):
+    monkeypatch.setattr(language, "LARGEST", largest)
+    rng = random.Random(5)
+    scripts = {"de": (97, 26), "el": (0x3B1, 25), "ja": (0x3041, 83), "ru": (0x430, 32), "zh": (0x4E00, 900)}
+    letters = {k: [chr(a + i) for i in range(n)] for k, (a, n) in scripts.items()}
+    words = {k: ["".join(rng.choices(own, k=rng.randint(2, 5))) for _ in range(80)] for k, own in letters.items()}
+    # Two languages of one script differ only in characters beyond the most frequent ones.
+    words["zh2"] = ["".join(rng.choices(letters["zh"], k=rng.randint(2, 5))) for _ in range(80)]
+    made = lambda k: " ".join(rng.choices(words[k], k=60))
+    learned = {k: [made(k) for _ in range(8)] for k in words}
+    model = language.Model(learned)
+    assert model.table.dtype == (np.int64 if largest == 1000 else np.int32)
+    texts = [made(k) for k in sorted(words) for _ in range(5)] + ["日本 ж 中", "λж" * 200]
+    got, _ = model.phrases(texts)
+    for row, text in zip(got, texts):
+        joined = {k: "".join(own) for k, own in learned.items()}
+        assert row.tolist() == [brute_phrases(text, joined[k]) for k in model.languages]
+    assert model.predict(texts[:-2])[0] == [k for k in sorted(words) for _ in range(5)]
+
+
 def test_language_accuracy_and_contract(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = queries.op8_language_id(spark, SMALL).collect()
