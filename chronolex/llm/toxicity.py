@@ -13,7 +13,10 @@ from chronolex.llm.samples import held_out, labelled_texts
 TEXTS_PER_LABEL = 2000
 CHARACTERS_PER_TEXT = 8_000
 WINDOW = 32
-STRIDE = 24
+STRIDE = 8
+# A longer run of word characters is cut into pieces of this length, which overlap by PIECE - PIECE_STEP.
+PIECE = 64
+PIECE_STEP = 40
 HIDDEN = 8
 WORD_ROWS = 1 << 16
 GRAM_ROWS = 1 << 14
@@ -26,7 +29,15 @@ SEED = 7
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of word characters, longer ones as overlapping pieces; nothing is left out."""
+    words = WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [piece for w in words for piece in pieces_of(w)]
+
+
+def pieces_of(word: str) -> list[str]:
+    return [word[i : i + PIECE] for i in range(0, max(1, len(word) - PIECE + PIECE_STEP), PIECE_STEP)]
 
 
 def word_rows(words: list[str]) -> np.ndarray:
@@ -35,9 +46,9 @@ def word_rows(words: list[str]) -> np.ndarray:
 
 def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the character trigrams of all words, each word's ends marked, and where each word begins."""
-    code = np.frombuffer("".join(f"<{w[:64]}>" for w in words).encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
+    code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
     grams = (code[:-2] * 961 + code[1:-1] * 31 + code[2:]) * 2654435761 % (1 << 32) * GRAM_ROWS >> 32
-    lengths = np.array([min(len(w), 64) + 2 for w in words], dtype=np.int64)
+    lengths = np.array([len(w) + 2 for w in words], dtype=np.int64)
     begin = np.cumsum(lengths) - lengths
     # The two trigrams that run from one word into the next are left out.
     inside = np.ones(len(code), dtype=bool)
@@ -357,7 +368,9 @@ def toxicity(
 ) -> DataFrame:
     """One row per input row: id, held_out, score, predicted.
 
-    Every window of `WINDOW` words, a new one each `STRIDE` words, of the whole text is scored; the
+    Every window of `WINDOW` words, a new one each `STRIDE` words, of the whole text is scored, so a
+    phrase of up to WINDOW - STRIDE + 1 words lies whole in one; a run of more than PIECE word characters
+    counts as several words, its overlapping pieces. The
     document's score is its highest window's, scaled by a logistic fit that knows the number of
     windows. NULL and empty texts are one blank window. Without labels, or with one label only, all
     scores are equal. Rows may repeat an id; NULL ids are never held out. Labels are learned only from

@@ -134,6 +134,40 @@ def test_windows_cover_every_word():
         assert set(range(n)) <= covered and (n < toxicity.WINDOW or max(covered) == n - 1)
 
 
+def test_phrases_over_an_edge_lie_whole_in_a_window():
+    whole = toxicity.WINDOW - toxicity.STRIDE + 1
+    assert whole >= 25
+    for n in (33, 40, 57, 500):
+        starts = toxicity.window_starts(n)
+        for length in (2, 9, 20, 25):
+            assert all(any(s <= p and p + length <= s + toxicity.WINDOW for s in starts) for p in range(n - length + 1))
+
+
+def test_long_runs_are_scored_whole():
+    for n in (1, 63, 64, 65, 88, 89, 104, 105, 1000):
+        run = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces = toxicity.words_of(f"a {run} b")[1:-1]
+        assert max(map(len, pieces)) <= toxicity.PIECE and (n > toxicity.PIECE or pieces == [run])
+        # Whatever is no longer than the overlap lies whole in a piece.
+        most = min(n, toxicity.PIECE - toxicity.PIECE_STEP)
+        assert all(any(run[i : i + most] in piece for piece in pieces) for i in range(n - most + 1))
+    grams, begin = toxicity.gram_rows(["x" * 70 + "abc", "abc"])
+    assert len(grams) == 73 + 3 and begin.tolist() == [0, 73]
+    rng = random.Random(3)
+    han = [chr(0x4E00 + i) for i in range(300)]
+    clause = lambda: "".join(rng.choices(han, k=rng.randint(90, 300)))
+    bad = "\u9e97\u9e98\u9e99\u9e9a\u9e9b"
+
+    def toxic():
+        own, at = clause(), rng.randint(64, 90)
+        return own[:at] + bad + own[at:]
+
+    rows = [(i, i % 2, toxic() if i % 2 else clause()) for i in range(400)]
+    scorer = toxicity.Scorer(toxicity.train(rows, steps=150))
+    scores = scorer.scores([toxic() if i % 2 else clause() for i in range(100)])
+    assert np.mean((scores >= 0.5) == (np.arange(100) % 2 == 1)) > 0.9
+
+
 def labelled(seed=1, n=400):
     rng = random.Random(seed)
     words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("n", "rt", "l")]
