@@ -13,7 +13,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def labelled_texts(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int, characters: int
 ) -> list:
-    """At most `per_label` training rows (id, label, text) of each label, the same on each run.
+    """At most `per_label` training rows (id, label, text) of each label, one per id, the same on each run.
 
     Rows are taken in order of a hash of the id, found per label with bounded sorts, so neither the
     labels nor the texts are gathered; texts are cut to `characters`. Both bounds apply to training
@@ -23,7 +23,7 @@ def labelled_texts(
     own = own.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
     chosen = []
     for (label,) in own.select("_label").distinct().orderBy("_label").collect():
-        rows = own.filter(F.col("_label") == label).select("_id").orderBy(F.xxhash64("_id"), "_id").limit(per_label)
+        rows = own.filter(F.col("_label") == label).select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(per_label)
         chosen += [(row[0], label) for row in rows.collect()]
     if not chosen:
         return []
@@ -31,4 +31,6 @@ def labelled_texts(
     texts = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).select(
         "_id", "_label", F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, characters).alias("_text")
     )
-    return sorted(tuple(r) for r in texts.collect())
+    # One text of an id, however many rows repeat it.
+    first = F.min_by("_text", F.struct(F.xxhash64("_text"), F.col("_text"))).alias("_text")
+    return sorted(tuple(r) for r in texts.groupBy("_id", "_label").agg(first).collect())

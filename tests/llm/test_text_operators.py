@@ -33,6 +33,14 @@ def test_training_sample_is_bounded_and_not_held_out(spark):
     assert all(zlib.crc32(str(i).encode()) % 5 for i, _, _ in rows)
 
 
+def test_training_sample_is_bounded_with_repeated_ids(spark):
+    ids = [7] * 200 + [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 and i != 7]
+    docs = table(spark, [f"text {k}" for k in range(len(ids))], ids)
+    rows = samples.labelled_texts(docs, docs, "doc_id", "text", "lang", 300, 50)
+    assert len(rows) == len({i for i, _, _ in rows}) == 300
+    assert rows == samples.labelled_texts(docs.repartition(5), docs, "doc_id", "text", "lang", 300, 50)
+
+
 # --- language -------------------------------------------------------------------------------------
 
 
