@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolex.llm import (
+    codes,
     decontaminate,
     edit_counts,
     exact_dedup,
@@ -13,8 +14,10 @@ from chronolex.llm import (
     mixing,
     reply_trees,
     simhash,
+    sketches,
     token_files,
     toxicity,
+    whitening,
 )
 from chronolex.sources.scratch import fresh_path
 
@@ -139,6 +142,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_edits(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 WHITE_SPACE = r"[\x20\x09-\x0D]"
 
 ORACLES["op2_exact_dedup"] = lambda: f"""
@@ -184,3 +202,53 @@ FROM whole LEFT JOIN known ON digest = text_digest LEFT JOIN found USING (doc_id
 
 
 ORACLES["op3_license_scan"] = _license_sql
+
+
+_SQUARED = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+_FLOORED = "(sum(x[pos]) - ((sum(x[pos]) % count(*)) + count(*)) % count(*)) // count(*)"
+
+
+def _codes_sql() -> str:
+    rounds = []
+    for k in range(7):
+        rounds.append(f"""a{k} AS (SELECT vec_id, label, part, any_value(x) AS x, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM
+  (SELECT vec_id, label, part, x, entry, {_SQUARED} AS d FROM p JOIN b{k} USING (part)) GROUP BY vec_id, label, part)""")
+        if k < 6:
+            rounds.append(f"""m{k} AS (SELECT part, entry, pos, CAST({_FLOORED} AS BIGINT) AS v
+  FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS pos FROM a{k}) GROUP BY part, entry, pos),
+b{k + 1} AS (SELECT part, entry, coalesce(n, c) AS c FROM b{k} LEFT JOIN
+  (SELECT part, entry, list(v ORDER BY pos) AS n FROM m{k} GROUP BY part, entry) USING (part, entry))""")
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda e: CAST(floor(4096 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+p AS (SELECT vec_id, label, part, x[part * (len(x) // 8) + 1 : (part + 1) * (len(x) // 8)] AS x FROM v, (SELECT unnest(range(8)) AS part)),
+b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p QUALIFY entry < 16),
+{", ".join(rounds)},
+r AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY vec_id, label),
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM r, s
+"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql
+
+# One of 16 hashes: those below 2^60, of five words each.
+ORACLES["op12_sketches"] = lambda: r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+f AS (SELECT *, coalesce(lead(text) OVER o, first_value(text) OVER o) AS following,
+  coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM d WINDOW o AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, n, next_id, text, substr(text, 1, n - n // 2) || substr(following, 1, n // 2) AS edited FROM f),
+t AS (SELECT doc_id, true AS own, text FROM e UNION ALL SELECT doc_id, false, edited FROM e),
+w AS (SELECT doc_id, own, regexp_extract_all(lower(text), '[^ 	-]+') AS w FROM t),
+h AS (SELECT doc_id, own, CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+  lambda i: substr(md5(array_to_string(list_slice(w, i, i + 4), ' ')), 1, 16)) END AS h FROM w),
+k AS (SELECT doc_id, own, list_sort(list_distinct(CASE WHEN len(list_filter(h, lambda x: x < '1000000000000000')) > 0
+  THEN list_filter(h, lambda x: x < '1000000000000000') WHEN len(h) > 0 THEN [list_min(h)] ELSE [] END)) AS s FROM h),
+j AS (SELECT e.doc_id, n, sha256(edited) AS edited_sha256, a.s AS a, b.s AS b, c.s AS c, len(list_intersect(a.s, b.s)) AS ab, len(list_intersect(a.s, c.s)) AS ac
+  FROM e JOIN k a ON a.doc_id = e.doc_id AND a.own JOIN k b ON b.doc_id = e.doc_id AND NOT b.own JOIN k c ON c.doc_id = e.next_id AND c.own)
+SELECT doc_id, n AS n_chars, edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE ab::DOUBLE / (len(a) + len(b) - ab) END AS near_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac::DOUBLE / (len(a) + len(c) - ac) END AS near_next,
+  CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE ab::DOUBLE / len(a) END AS within_edited,
+  CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE ac::DOUBLE / len(a) END AS within_next FROM j
+"""
