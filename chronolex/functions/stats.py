@@ -26,6 +26,39 @@ def bin_counts(p: Column, right_closed: bool = False) -> Column:
     return F.array(*[F.count_if(_in_bin(p, i, right_closed)) for i in range(N_BINS)])
 
 
+# Values are summed as whole numbers of 1e-15.
+EXACT, EXACT_LIMIT = 1e15, 9_000.0
+
+
+def exact(x: Column) -> Column:
+    """`x` to 15 decimal places as a whole number, whose sums do not depend on the order of rows.
+
+    NULL where `x` is not finite, or EXACT_LIMIT or more in size. Made from a long, not from the text of a
+    double, which would cost more than all else in a scan of probabilities.
+    """
+    # NaN is above all numbers.
+    return F.when(F.abs(x) < EXACT_LIMIT, F.rint(x * EXACT).cast("long").cast("decimal(19,0)"))
+
+
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean from a sum of `exact` values and a count."""
+    return (total / F.nullif(n, F.lit(0))).cast("double") / EXACT
+
+
+def variance_of(total: Column, squares: Column, n: Column) -> Column:
+    """Population variance from exact sums of values and squares."""
+    mean = mean_of(total, n)
+    return F.greatest(mean_of(squares, n) - mean * mean, F.lit(0.0))
+
+
+def bin_index(p: Column) -> Column:
+    """Left-closed bin of `p`; -1 outside [0, 1], NULL for NULL."""
+    index = F.when(p.isNull(), F.lit(None).cast("int"))
+    for i in range(N_BINS):
+        index = index.when(_in_bin(p, i, False), i)
+    return index.otherwise(-1)
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 

@@ -62,10 +62,23 @@ CLASS_ROWS = f"""class_rows AS (
     count(*) / sum(count(*)) OVER (PARTITION BY {GROUPS}, year) AS metric_value
   FROM preds WHERE year <> {REF} GROUP BY {GROUPS}, year, pred_label)"""
 
+def _exact(value: str) -> str:
+    """A sum of decimals, which no order of rows changes."""
+    return f"sum(CAST({value} AS DECIMAL(28,18)))"
+
+
+def _mean(value: str) -> str:
+    return f"{_exact(value)} / count({value})"
+
+
+def _variance(p: str) -> str:
+    return f"greatest({_mean(f'{p} * {p}')} - ({_mean(p)}) * ({_mean(p)}), 0)"
+
+
 SUMMARY_ROWS = f"""prob_wide AS (
-  SELECT year, {GROUPS}, avg(greatest(prob_democrat, prob_republican)) AS mean_confidence,
-    avg(prob_democrat) AS mean_prob_democrat, avg(prob_republican) AS mean_prob_republican,
-    var_pop(prob_democrat) AS var_prob_democrat, var_pop(prob_republican) AS var_prob_republican,
+  SELECT year, {GROUPS}, {_mean('greatest(prob_democrat, prob_republican)')} AS mean_confidence,
+    {_mean('prob_democrat')} AS mean_prob_democrat, {_mean('prob_republican')} AS mean_prob_republican,
+    {_variance('prob_democrat')} AS var_prob_democrat, {_variance('prob_republican')} AS var_prob_republican,
     avg(CASE WHEN prob_democrat > 0.7::DOUBLE OR prob_democrat < 1 - 0.7::DOUBLE THEN 1.0 ELSE 0.0 END) AS high_confidence_fraction_democrat,
     avg(CASE WHEN prob_republican > 0.7::DOUBLE OR prob_republican < 1 - 0.7::DOUBLE THEN 1.0 ELSE 0.0 END) AS high_confidence_fraction_republican
   FROM preds WHERE year <> {REF} GROUP BY ALL),
@@ -82,7 +95,9 @@ YEAR_FLIP_ROWS = f"""flip_rows AS (
     AND r.model_name = c.model_name AND r.model_version = c.model_version
   WHERE r.year = {REF} AND c.year <> {REF} GROUP BY ALL)"""
 
-TALL_ROUNDED = f"year, ref_year, {GROUPS}, metric_name, round(metric_value, 6) AS metric_value"
+# A value halfway between two results is rounded as the decimal it stands for, not as its binary neighbour.
+ROUNDED = "CAST(round(CAST(metric_value AS DECIMAL(38,15)), 6) AS DOUBLE) AS metric_value"
+TALL_ROUNDED = f"year, ref_year, {GROUPS}, metric_name, {ROUNDED}"
 REPORT = f"""report AS (
   SELECT {TALL} FROM data_rows UNION ALL SELECT {TALL} FROM class_rows
   UNION ALL SELECT {TALL} FROM prob_rows UNION ALL SELECT {TALL} FROM flip_rows)"""

@@ -166,3 +166,66 @@ def test_drift_plan_has_one_scan_and_no_python(spark, sf):
     assert "EvalPython" not in plan
     assert plan.count("\nReadSchema") == 1
     assert "ReadSchema: struct<l_quantity:double,l_returnflag:string,l_shipdate:timestamp" in plan
+
+
+def under(spark, partitions, build):
+    """Exact result rows with so many shuffle partitions and input partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        return sorted((tuple(r) for r in build(partitions).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("report", [D.probability_summary, D.drift_report])
+def test_sums_do_not_depend_on_partitions(spark, sf, report):
+    rng = np.random.default_rng(2)
+    df = preds(spark, map(float, rng.random(3000)), 1869).union(preds(spark, map(float, rng.random(3000) ** 3), 1870))
+    results = [under(spark, k, lambda k: report(df.repartition(k, "paragraph_id"), 1869)) for k in (1, 8, 211)]
+    assert results[0] == results[1] == results[2] and results[0]
+
+
+def test_a_mean_between_two_roundings_is_exact(spark):
+    rows = D.probability_summary(preds(spark, [0.200476, 0.200475]), 1869).collect()
+    assert {r["metric_name"]: r["metric_value"] for r in rows}["mean_prob_republican"] == 0.2004755
+
+
+def test_values_that_are_not_finite_count_as_null(spark):
+    odd = preds(spark, [0.25, float("nan"), float("inf"), None], 1870, label=1.0)
+    values = {r["metric_name"]: r["metric_value"] for r in D.probability_summary(odd, 1869).collect()}
+    assert values["mean_prob_republican"] == 0.25 and values["var_prob_democrat"] == 0.0
+    report = {r["metric_name"]: r["metric_value"] for r in D.drift_report(odd, 1869).collect()}
+    assert report == {**values, "pred_class_1_fraction": 1.0}
+
+
+def test_report_is_the_union_of_its_parts(spark, sf):
+    flips = preds(spark, [0.1, 0.9, 0.5], 1995).union(preds(spark, [0.9, 0.9, 0.2, 0.3], 1996)).union(preds(spark, [0.9, 0.1], 1997))
+    repeated = flips.union(flips.filter("year = 1996")).withColumn("model_name", F.lit("other"))
+    unknown = preds(spark, [0.4], 1996).withColumns({"series": F.lit(None).cast("string"), "pred_label": F.lit(None).cast("double")})
+    also = preds(spark, [0.4], 1995).withColumn("series", F.lit(None).cast("string"))
+    for df in (B.predictions(spark, sf), flips.union(repeated).union(unknown).union(also)):
+        parts = [D.data_drift, D.class_balance, D.probability_summary, D.yearly_flip_rate]
+        names = ["year", *D.MODEL, "metric_name", "metric_value"]
+        want = sorted((r for part in parts for r in rows_of(part(df, 1995), *names)), key=repr)
+        assert rows_of(D.drift_report(df, 1995), *names) == want
+        concept = sorted((r for part in parts[1:] for r in rows_of(part(df, 1995), *names)), key=repr)
+        assert rows_of(D.concept_drift(df, 1995), *names) == concept
+
+
+def test_yearly_flips_equal_a_join_of_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [("s", "1", int(i), int(y), None if x < 0.1 else float(x < 0.5), 0.5, 0.5, "m", "1") for i, y, x in zip(rng.integers(0, 20, 400), rng.integers(1869, 1873, 400), rng.random(400))]
+    df = spark.createDataFrame(rows, PRED)
+    pairs = df.filter("year = 1869").alias("r").join(df.filter("year <> 1869").alias("c"), schema.PARAGRAPH_KEY)
+    share = F.avg(F.coalesce((F.col("r.pred_label") != F.col("c.pred_label")).cast("double"), F.lit(0.0)))
+    want = rows_of(pairs.groupBy("c.year").agg(share.alias("rate")))
+    assert rows_of(D.yearly_flip_rate(df, 1869), "year", "metric_value") == want
+
+
+def test_report_reads_the_predictions_once_and_joins_nothing(spark, sf):
+    for report in (D.drift_report, D.concept_drift):
+        plan = plan_of(report(B.predictions(spark, sf), 1995))
+        assert plan.count("\nReadSchema") == 1
+        assert "Join" not in plan and "EvalPython" not in plan
+    assert "Join" not in plan_of(D.yearly_flip_rate(B.predictions(spark, sf), 1995))
