@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolex import schema
 from chronolex.functions.vectors import nonzero_count, stored_values
-from chronolex.operators import evaluation as E, features as FT, models as MD, paragraphs as P, registry as R, split as SP
+from chronolex.operators import (
+    evaluation as E, features as FT, models as MD, optimality as O, paragraphs as P, registry as R, split as SP,
+)
 from chronolex.plans import bindings as B
 from chronolex.plans.catalog import query, rounded, with_ctes
 from chronolex.plans.text_queries import LINES, NUMBERED, cleaned_sql, english_stopwords, sql_list
@@ -337,6 +339,48 @@ def train_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, hashed_features(spark, sf_dir), ["linear_svc"])
 
 
+# The largest entry of the gradient that a fitted model may have: the logistic loss is smooth and met to many
+# digits, the hinge is not, and its optimizer stops where progress does.
+LARGEST_ENTRY = {"logistic_regression": 1e-5, "linear_svc": 0.05}
+
+
+def gradient_sql(name: str, classes: int) -> str:
+    """What an optimal model fulfils: no coefficient can move, and probabilities have the mean of the labels."""
+    mean = "round(avg(label), 3)" if name == "logistic_regression" else "NULL::DOUBLE"
+    return with_ctes(
+        *feature_ctes(TRAIN_YEAR),
+        f"train AS (SELECT * FROM docs WHERE {TRAIN_YEAR} AND split = 'train')",
+        f"""used AS (SELECT term FROM vec WHERE {TRAIN_YEAR} AND split = 'train' AND x <> 0 GROUP BY term
+          HAVING count(*) < (SELECT count(*) FROM train) OR var_samp(x) > 0)""",
+        select=f"""SELECT '{name}' AS model_name, count(*) AS rows, {classes} * (1 + (SELECT count(*) FROM used)) AS entries,
+          {mean} AS mean_probability, true AS stationary FROM train""",
+    )
+
+
+def _gradient(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    train, _ = split_training(spark, vocabulary_features(spark, sf_dir))
+    kept = scratch.materialize(MD.training_rows(train), "training-rows")
+    model = MD.build_model(name).fit(kept)
+    coefficients = scratch.materialize(O.coefficient_rows(spark, model), "coefficients")
+    worst = O.largest_entry(O.gradient(kept, coefficients, name, MD.PARAMS[name]["regParam"]))
+    scored = MD.score(model, kept, name, "1")
+    means = scored.agg(F.count("*").alias("rows"), F.round(F.avg("prob_republican"), 3).alias("mean_probability"))
+    return means.join(worst).select(  # one row each
+        F.lit(name).alias("model_name"), "rows", "entries", "mean_probability",
+        (F.col("largest") <= LARGEST_ENTRY[name]).alias("stationary"),
+    )
+
+
+@query("lr_gradient", lambda: gradient_sql("logistic_regression", 2))
+def lr_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gradient(spark, sf_dir, "logistic_regression")
+
+
+@query("svc_gradient", lambda: gradient_sql("linear_svc", 1))
+def svc_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gradient(spark, sf_dir, "linear_svc")
+
+
 @query("train_all_models")
 def train_all_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, hashed_features(spark, sf_dir))
