@@ -4,7 +4,7 @@ from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronolex.functions.text import WORD_CLASS
-from chronolex.operators.skew import join_even
+from chronolex.operators.skew import join_lookup
 from chronolex.sources.scratch import materialize
 
 MIN_DOC_FREQ = 5
@@ -94,19 +94,42 @@ def vocabulary(
     return above.unionByName(ranked.filter(F.col("_place") <= size - cut["before"]).select(*profile.columns))
 
 
+def row_counts(words: Column) -> Column:
+    """Array of (term, tf) of the words of one row, in term order, counted inside the row.
+
+    Sorted words come in runs; a run is as long as the next one's start is away. NULL has no terms.
+    """
+
+    def let(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        places = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)  # none in an empty row
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        ends = lambda first: F.concat(F.slice(first, 2, n), F.array(n))
+        run = lambda a, b: F.struct(F.get(ordered, a).alias("term"), (b - a).cast("long").alias("tf"))
+        counted = lambda first: F.zip_with(first, ends(first), run)
+        return F.when(n > 0, let(starts, counted)).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+    return let(F.sort_array(F.coalesce(words, F.array().cast("array<string>"))), runs)
+
+
 def tfidf_terms(
     df: DataFrame, key: str, words_col: str = "filtered_words", min_doc_freq: int = MIN_DOC_FREQ
 ) -> DataFrame:
-    """TF-IDF of every (document, term); `key` identifies a document.
+    """TF-IDF of every (document, term); `key` identifies a document, which is one row.
 
-    Document frequencies are written once; frequent terms are salted in the join, so a term that
-    occurs in a third of all documents does not fill one task. Runs actions.
+    Terms are counted inside the row, so no (document, term) table is shuffled to count it. Document
+    frequencies are written once and broadcast if their measured size allows; beyond that, frequent terms
+    are salted in the join, so a term that occurs in a third of all documents does not fill one task.
+    Runs actions.
     """
     present = df.select(F.explode(F.array_distinct(words_col)).alias("term"))
     frequencies = materialize(present.groupBy("term").agg(F.count("*").alias("df")), "document-frequencies")
     n = df.select(F.count("*")).scalar()
-    tf = term_counts(df, [key], words_col)
-    joined = join_even(tf, frequencies, ["term"], "inner", key_counts=frequencies)
+    tf = df.select(key, F.inline(row_counts(F.col(words_col))))
+    joined = join_lookup(tf, frequencies, ["term"], "inner").select(key, "term", "tf", "df")
     return joined.withColumn("tfidf", F.col("tf") * _idf(n, F.col("df"), min_doc_freq))
 
 
@@ -116,22 +139,29 @@ def _year_map(totals: DataFrame, value: str) -> Column:
 
 
 def _beside_reference(profile: DataFrame, ref_year: int, years: list[int], values: list[str]) -> DataFrame:
-    """Full outer comparison of each year with the reference, as one aggregate instead of joins.
+    """Full outer comparison of each year with the reference: `ref_*` and `cur_*`, 0 where a term is absent.
 
-    Reference rows count for every compared year; `ref_*` and `cur_*` are 0 where a term is absent.
+    Each term's years meet in one row as a map year -> counts, and are compared after the shuffle: what is
+    shuffled are the (year, term) pairs that occur, not reference terms times years.
     """
-    is_ref = F.col("year") == ref_year
-    targets = F.when(is_ref, F.array(*[F.lit(y) for y in years])).otherwise(F.array("year"))
-    spread = profile.select("*", F.explode(targets).alias("_target"))
-    sums = [
-        agg
-        for v in values
-        for agg in (
-            F.sum(F.when(is_ref, F.col(v)).otherwise(0)).alias(f"ref_{v}"),
-            F.sum(F.when(~is_ref, F.col(v)).otherwise(0)).alias(f"cur_{v}"),
-        )
-    ]
-    return spread.groupBy(F.col("_target").alias("year"), "term").agg(*sums)
+    counts = F.collect_list(F.struct("year", F.struct(*values)))
+    vectors = profile.groupBy("term").agg(F.map_from_entries(counts).alias("by_year"))
+    of = lambda year: F.try_element_at(F.col("by_year"), year)
+    reference = of(F.lit(ref_year))
+    compared = F.filter(F.array(*[F.lit(y).cast("int") for y in years]), lambda y: reference.isNotNull() | of(y).isNotNull())
+    zero = F.lit(0).cast("long")
+    return vectors.select("term", reference.alias("ref"), "by_year", F.explode(compared).alias("year")).select(
+        "year",
+        "term",
+        *[
+            column
+            for v in values
+            for column in (
+                F.coalesce(F.col(f"ref.{v}"), zero).alias(f"ref_{v}"),
+                F.coalesce(of(F.col("year")).getField(v), zero).alias(f"cur_{v}"),
+            )
+        ],
+    )
 
 
 def vocabulary_drift(

@@ -1,10 +1,13 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from chronolex import schema
 from chronolex.functions import text as T
-from chronolex.operators import paragraphs as P
+from chronolex.operators import paragraphs as P, terms as TM
+from conftest import plan_of
 
 EDGE = [
     ("A,B ,  C bigger,the house which, which", ",, bigger, house which,which"),
@@ -98,3 +101,33 @@ def test_min_words_is_strict(spark):
 def test_cap_tokens(spark):
     df = spark.createDataFrame([("a b  c d",)], "text string")
     assert P.cap_paragraphs(df, 3).head()["text"] == "a b c"
+
+
+def test_terms_are_counted_in_the_row(spark):
+    rows = [(1, ["b", "a", "b", "c", "a", "b"]), (2, []), (3, None), (4, ["é"]), (5, ["z"] * 300)]
+    df = spark.createDataFrame(rows, "k int, w array<string>")
+    got = {r["k"]: [tuple(e) for e in r["c"]] for r in df.select("k", TM.row_counts(F.col("w")).alias("c")).collect()}
+    assert got == {1: [("a", 2), ("b", 3), ("c", 1)], 2: [], 3: [], 4: [("é", 1)], 5: [("z", 300)]}
+
+
+def test_tfidf_shuffles_no_documents(spark):
+    rows = [(i, ["common", f"w{i % 7}", "common"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, filtered_words array<string>")
+    made = TM.tfidf_terms(df, "k", min_doc_freq=1)
+    main = plan_of(made).split("Subqueries")[0]  # the subquery counts all rows
+    assert "BroadcastExchange" in main and not re.search(r"\) Exchange|SortMergeJoin|hashpartitioning", main)
+    assert {(r["term"], r["tf"], r["df"]) for r in made.collect() if r["k"] == 3} == {("common", 2, 40), ("w3", 1, 6)}
+
+
+def test_years_of_a_term_meet_in_one_row(spark):
+    """Shuffled rows are the (year, term) pairs that occur, however many years are compared."""
+    rows = [(1869, ["old", "both", "both"]), (1870, ["both", "new"]), (1871, ["old"])]
+    df = spark.createDataFrame(rows, "year int, filtered_words array<string>")
+    years = list(range(1870, 2020))
+    drift = TM.vocabulary_drift(df, 1869, years)
+    tree = plan_of(drift).split("Subqueries")[0].split("(1) Scan")[0]
+    assert tree.index("Generate") < tree.index("Exchange")  # years are spread out above the last shuffle
+    found = {(r["year"], r["term"]): (r["ref_tf"], r["cur_tf"], r["status"]) for r in drift.collect()}
+    assert found[1870, "both"] == (2, 1, "kept") and found[1870, "new"] == (0, 1, "new") and found[1870, "old"] == (1, 0, "gone")
+    assert found[1871, "old"] == (1, 1, "kept") and (1871, "new") not in found
+    assert len(found) == 2 * len(years) + 1  # two reference terms in every year, one new term
