@@ -71,16 +71,7 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(part(2).alias("pos"), F.lit(0).alias("removed"), F.lit(" and new words,").alias("added")),
         F.struct(part(3).alias("pos"), F.lit(20).alias("removed"), F.lit("").alias("added")),
     )
-    trees = docs.select("doc_id", "text", edits.alias("edits"), edit_counts.build(F.col("text")).alias("tree"))
-    after = edit_counts.apply_edits(F.col("text"), F.col("tree"), F.col("edits"))
-    before = edit_counts.token_count(F.col("tree")).alias("tokens_before")
-    return trees.select("doc_id", before, after.alias("after")).select(
-        "doc_id",
-        "tokens_before",
-        edit_counts.token_count(F.col("after")).alias("n_tokens"),
-        F.length("after.text").cast("long").alias("n_chars"),
-        "after.encoded_chars",
-    )
+    return edit_counts.edited_counts(docs.withColumn("edits", edits))
 
 
 @_query
@@ -239,7 +230,8 @@ f AS (SELECT *, coalesce(lead(text) OVER o, first_value(text) OVER o) AS followi
   coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM d WINDOW o AS (ORDER BY doc_id DESC)),
 e AS (SELECT doc_id, n, next_id, text, substr(text, 1, n - n // 2) || substr(following, 1, n // 2) AS edited FROM f),
 t AS (SELECT doc_id, true AS own, text FROM e UNION ALL SELECT doc_id, false, edited FROM e),
-w AS (SELECT doc_id, own, regexp_extract_all(lower(text), '[^ 	-]+') AS w FROM t),
+w AS (SELECT doc_id, own, regexp_extract_all(lower(text), '[^ 	-
+]+') AS w FROM t),
 h AS (SELECT doc_id, own, CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1),
   lambda i: substr(md5(array_to_string(list_slice(w, i, i + 4), ' ')), 1, 16)) END AS h FROM w),
 k AS (SELECT doc_id, own, list_sort(list_distinct(CASE WHEN len(list_filter(h, lambda x: x < '1000000000000000')) > 0

@@ -129,6 +129,46 @@ def test_only_touched_regions_are_encoded(spark):
     assert row.select(after.alias("a")).head()["a"]["encoded_chars"] < 1000
 
 
+def test_edits_after_a_large_insertion_touch_little(spark, tokenizer):
+    text = " ".join(f"word{k}" for k in range(300))
+    large = " " + " ".join(f"more{k}" for k in range(20_000))
+    edits = [(1000, 0, large), (50_000, 3, "new"), (120_000, 0, " x"), (900, 5, "y")]
+    rows = spark.createDataFrame([(1, text, edits[:1]), (2, text, edits)], f"doc_id long, text string, edits {edit_counts.EDITS}")
+    counts = {r["doc_id"]: r for r in edit_counts.edited_counts(rows).collect()}
+    assert counts[2]["encoded_chars"] - counts[1]["encoded_chars"] < 2000
+    for pos, removed, added in edits:
+        text = text[:pos] + added + text[pos + removed :]
+    assert counts[2]["n_tokens"] == len(tokenizer.encode(text, add_special_tokens=False).ids) and counts[2]["n_chars"] == len(text)
+
+
+def test_trees_stay_right_through_many_edits(tokenizer):
+    """Splitting, empty leaves and descent against plain sums."""
+    rng = random.Random(4)
+    texts = ["a b c d " * 40, "", "x" * 200]
+    trees = [edit_counts.Tree.of(*own) for own in edit_counts._pieces(texts, pieces.default_path())]
+    for _ in range(120):
+        edits = [[{"pos": rng.randrange(len(t) + 1), "removed": rng.choice([0, 0, 2, 40]), "added": rng.choice(["", "w", " a b" * 60, "\n", "é "])}] for t in texts]
+        texts, _ = edit_counts._edit(texts, trees, edits, pieces.default_path())
+        for text, tree in zip(texts, trees):
+            assert tree.sums[1] == len(tokenizer.encode(text, add_special_tokens=False).ids)
+            assert tree.chars.sum() == tree.char_sums[1] == len(text)
+            ends = np.cumsum(tree.chars)
+            for pos in (0, len(text) // 2, max(len(text) - 1, 0), len(text)):
+                leaf, start = tree._leaf(pos)
+                want = min(int(np.searchsorted(ends, pos, side="right")), tree.leaves - 1)
+                assert (leaf, start) == (want, int(ends[want] - tree.chars[want]))
+
+
+def test_edited_counts_of_odd_rows(spark):
+    schema = f"id string, body string, changes {edit_counts.EDITS}, _text int, tokens_before int, doc_id int"
+    rows = [("a", "one two", [(0, 3, "three")], 1, 1, 1), ("a", "one two", None, 1, 1, 1), (None, None, [(5, 5, None)], 1, 1, 1), ("b", "", [], 1, 1, 1)]
+    frame = spark.createDataFrame(rows, schema)
+    got = edit_counts.edited_counts(frame, "id", "body", "changes")
+    assert sorted(tuple(r)[:4] for r in got.collect() if r["id"]) == [("a", 2, 2, 7), ("a", 2, 2, 9), ("b", 0, 0, 0)]
+    assert [tuple(r) for r in got.filter("id IS NULL").collect()] == [(None, 0, 0, 0, 0)]
+    assert edit_counts.edited_counts(frame.limit(0), "id", "body", "changes").count() == 0
+
+
 def test_edit_query_counts_equal_whole_encoding(spark, sf, tokenizer):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = queries.op5_edit_counts(spark, sf).collect()
