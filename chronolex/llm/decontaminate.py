@@ -270,6 +270,7 @@ class Search:
             self.slots[k, distinct] = np.arange(1, len(distinct) + 1)
             if len(terms) <= WORD_BITS:
                 np.bitwise_or.at(self.masks[k], number + 1, np.uint64(1) << np.arange(len(terms), dtype=np.uint64))
+        self.member = self.slots > 0
         # Per scale: unit vectors of items, or of parts of long ones, whose they are, where the item begins
         # as seen from the window, the least cosine, and the fewest words of items in a window.
         self.queries: dict[int, tuple[np.ndarray, ...]] = {}
@@ -383,51 +384,93 @@ class Search:
         padded = np.append(padded, np.full(4 * WORD_BITS, len(self.items.vocabulary)))
         found: list[dict] = [{} for _ in range(len(counts))]
         rows = self.candidates(codes, counts)
-        sizes = self.sizes
-        for size in np.unique(sizes[rows[:, 1]]) if len(rows) else []:
-            own = rows[sizes[rows[:, 1]] == size]
+        rows = rows[self._promising(rows, padded, begin, counts)]
+        for own in self._batches(rows):
+            text, item, place = own.T
+            size = self.sizes[item]
             # Where the item would be, and half its length and a place on either side.
-            around = PLACE + int(size) // 2
-            span = int(size) + 2 * around
-            some = WINDOWS_AT_ONCE if size <= WORD_BITS else max(1, min(2000, 1_000_000 // span))
-            for start in range(0, len(own), some):
-                text, item, place = own[start : start + some].T
-                low = np.maximum(place * PLACE - around, 0)
-                length = np.minimum(place * PLACE - around + span, counts[text]) - low
-                if size <= WORD_BITS:
-                    share = self._common(padded, begin[text] + low, length, item) / size
-                else:
-                    at = np.minimum(np.arange(span), np.maximum(length - 1, 0)[:, None])
-                    inside = np.arange(span) < length[:, None]
-                    regions = np.where(inside, padded[(begin[text] + low)[:, None] + at], len(self.items.vocabulary))
-                    # Fewer of the item's words than a leak needs: no order of them can be one.
-                    enough = np.flatnonzero((self.slots[item[:, None], regions] > 0).sum(axis=1) >= PARAPHRASE * size)
-                    share = np.zeros(len(item))
-                    if len(enough):
-                        terms = np.stack([self.items.terms[k] for k in item[enough]])
-                        share[enough] = common(regions[enough], terms) / size
-                for row in np.flatnonzero(share >= PARAPHRASE):
-                    t, k, s = text[row], item[row], share[row]
-                    if s > found[t].get(k, 0):
-                        # An answer may begin or end beside the region.
-                        more = len(self.items.answers[k])
-                        near = slice(begin[t] + max(0, low[row] - more), begin[t] + min(counts[t], low[row] + length[row] + more))
-                        if s >= SHARE or self._answered(codes[near], k):
-                            found[t][k] = float(s)
+            around = PLACE + size // 2
+            low = np.maximum(place * PLACE - around, 0)
+            length = np.minimum(place * PLACE + size + around, counts[text]) - low
+            if size[0] <= WORD_BITS:
+                share = self._common(padded, begin[text] + low, length, item) / size
+            else:
+                at = np.minimum(np.arange(size[0] + 2 * around[0]), np.maximum(length - 1, 0)[:, None])
+                inside = np.arange(at.shape[1]) < length[:, None]
+                regions = np.where(inside, padded[(begin[text] + low)[:, None] + at], len(self.items.vocabulary))
+                # Fewer of the item's words than a leak needs: no order of them can be one.
+                enough = np.flatnonzero((self.slots[item[:, None], regions] > 0).sum(axis=1) >= PARAPHRASE * size)
+                share = np.zeros(len(item))
+                if len(enough):
+                    terms = np.stack([self.items.terms[k] for k in item[enough]])
+                    share[enough] = common(regions[enough], terms) / size[enough]
+            for row in np.flatnonzero(share >= PARAPHRASE):
+                t, k, s = text[row], item[row], share[row]
+                if s > found[t].get(k, 0):
+                    # An answer may begin or end beside the region.
+                    more = len(self.items.answers[k])
+                    near = slice(begin[t] + max(0, low[row] - more), begin[t] + min(counts[t], low[row] + length[row] + more))
+                    if s >= SHARE or self._answered(codes[near], k):
+                        found[t][k] = float(s)
         return found
 
+    def _promising(self, rows: np.ndarray, padded: np.ndarray, begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Which candidates of short items have as many words of the item around them as a leak needs.
+
+        With fewer, no order of them can be one. Neighbouring places of one text and item are looked at
+        together, in the region that holds all of theirs.
+        """
+        if not len(rows):
+            return np.ones(0, dtype=bool)
+        apart = (np.diff(rows[:, :2], axis=0) != 0).any(axis=1) | (np.diff(rows[:, 2]) != 1)
+        starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
+        ends = np.append(starts[1:], len(rows)) - 1
+        text, item, place = rows[starts].T
+        size = self.sizes[item]
+        around = PLACE + size // 2
+        low = np.maximum(place * PLACE - around, 0)
+        length = np.minimum(rows[ends, 2] * PLACE + size + around, counts[text]) - low
+        enough = np.ones(len(starts), dtype=bool)
+        # Long runs of places, and long items, are left to the comparison itself.
+        short = np.flatnonzero((size <= WORD_BITS) & (length <= 4 * WORD_BITS))
+        short = short[np.argsort(length[short], kind="stable")]
+        flat, width = self.member.ravel(), self.member.shape[1]
+        for start in range(0, len(short), WINDOWS_AT_ONCE):
+            own = short[start : start + WINDOWS_AT_ONCE]
+            steps = np.arange(int(length[own].max()))
+            there = flat[(item[own] * width)[:, None] + padded[(begin[text[own]] + low[own])[:, None] + steps]]
+            there &= steps < length[own][:, None]
+            enough[own] = there.sum(axis=1) >= PARAPHRASE * size[own]
+        return np.repeat(enough, ends - starts + 1)
+
+    def _batches(self, rows: np.ndarray) -> Iterator[np.ndarray]:
+        """Candidates in batches: those of items of up to WORD_BITS words together, longer ones by their length."""
+        size = self.sizes[rows[:, 1]]
+        short = size <= WORD_BITS
+        for start in range(0, int(short.sum()), WINDOWS_AT_ONCE):
+            yield rows[short][start : start + WINDOWS_AT_ONCE]
+        for own in np.unique(size[~short]):
+            alike = rows[size == own]
+            some = max(1, min(2000, 1_000_000 // (2 * int(own) + 2 * PLACE)))
+            for start in range(0, len(alike), some):
+                yield alike[start : start + some]
+
     def _common(self, padded: np.ndarray, first: np.ndarray, length: np.ndarray, item: np.ndarray) -> np.ndarray:
         """As common(), for items of up to WORD_BITS words: a bit per word of the item, one step per word of the text."""
         width, deep = self.slots.shape[1], self.masks.shape[1]
         slots, masks = self.slots.ravel(), self.masks.ravel()
-        row, own = item * width, item * deep
+        order = np.argsort(-length, kind="stable")  # the rows that a step still reaches are the first ones
+        row, own, first = item[order] * width, item[order] * deep, first[order]
+        active = np.searchsorted(-length[order], -np.arange(int(length.max(initial=0))), side="left")
         state = np.full(len(item), ~np.uint64(0))
-        for step in range(int(length.max(initial=0))):
-            mask = masks[own + slots[row + padded[first + step]]]
-            mask[step >= length] = 0
-            kept = state & mask
-            state = (state + kept) | (state - kept)
-        return np.bitwise_count(~state)
+        for step, m in enumerate(active):
+            mask = masks[own[:m] + slots[row[:m] + padded[first[:m] + step]]]
+            now = state[:m]
+            kept = now & mask
+            state[:m] = (now + kept) | (now - kept)
+        result = np.empty(len(item), dtype=np.int64)
+        result[order] = np.bitwise_count(~state)
+        return result
 
     def _answered(self, region: np.ndarray, item: int) -> bool:
         answer = self.items.answers[item]
