@@ -1,10 +1,12 @@
 """TF-IDF vectors with Spark ML and the feature store."""
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, stopword_remover, tokenizer, vocabulary
 from chronolex.sources.tables import load_feature_model, save_feature_model, write_year
@@ -65,6 +67,21 @@ def apply_features(model: PipelineModel, df: DataFrame, drop_intermediate: bool
     return features.drop(*INTERMEDIATE) if drop_intermediate else features
 
 
+def feature_frequencies(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """What fitted stages made of their data: (term, df), the term of a hashed feature being its bucket.
+
+    Terms that are below the least document frequency count, those in no row of a hashed table do not.
+    """
+    vectorizer, idf = next(s for s in model.stages if hasattr(s, "vocabulary") or isinstance(s, HashingTF)), model.stages[-1]
+    frequencies = np.asarray(idf.docFreq, dtype=np.int64)
+    if hasattr(vectorizer, "vocabulary"):
+        table = pd.DataFrame({"term": vectorizer.vocabulary, "df": frequencies})
+    else:
+        used = np.flatnonzero(frequencies)
+        table = pd.DataFrame({"term": used.astype(str), "df": frequencies[used]})
+    return spark.createDataFrame(table, "term string, df long")
+
+
 def pad_label(df: DataFrame) -> DataFrame:
     """A typed NULL label where there is none."""
     return df if "label" in df.columns else df.withColumn("label", F.lit(None).cast("double"))

@@ -219,7 +219,7 @@ BAYES = (
 PREDICTED = f"SELECT {KEY}, label, pred_label, prob_democrat, prob_republican FROM scored_rows"
 
 
-def bayes_metrics(select: str) -> str:
+def bayes_metrics(select: str, *more: str) -> str:
     """Metrics of Naive Bayes on the test rows, from the same SQL as the evaluation queries."""
     tests = f"""eval_scores AS (SELECT label, score, CASE WHEN score > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
       FROM bayes WHERE {TRAIN_YEAR} AND split = 'test')"""
@@ -232,7 +232,7 @@ def bayes_metrics(select: str) -> str:
       UNION ALL SELECT metric_name, metric_value FROM (UNPIVOT areas ON "areaUnderROC", "areaUnderPR"
         INTO NAME metric_name VALUE metric_value) WHERE class = 1)"""
     return with_ctes(
-        *feature_ctes(TRAIN_YEAR), *BAYES, tests, MATRIX, CLASSES, CURVE, POINTS, AREAS, overall, tall, select=select
+        *feature_ctes(TRAIN_YEAR), *BAYES, tests, MATRIX, CLASSES, CURVE, POINTS, AREAS, overall, tall, *more, select=select
     )
 
 
@@ -386,16 +386,39 @@ def train_all_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, hashed_features(spark, sf_dir))
 
 
-@query(
-    "run_log",
-    lambda: bayes_metrics(
-        """SELECT 'naive_bayes' AS model_name, 'features' AS feature_table, 'v1' AS feature_version, 'v1' AS data_version,
-          '1.0' AS smoothing, metric_name, round(metric_value, 6) AS metric_value FROM tall"""
-    ),
-)
+DATA_COLUMNS = [*KEY.split(", "), "cleaned_paragraph", "label"]
+
+
+def _versions_sql() -> tuple[str, str]:
+    """Fingerprints of the processed training year, and of the vocabulary fitted on it, from the raw text."""
+
+    def fingerprint(name: str, columns: list[str], rows: str) -> str:
+        texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in columns)
+        digest = f"('0x' || substr(md5(concat_ws(chr(31), {texts})), 1, 15))::UBIGINT::HUGEINT"
+        return f"{name} AS (SELECT count(*) || '-' || coalesce(sum({digest}), 0) AS {name} FROM ({rows}))"
+
+    processed_rows = f"""SELECT {KEY}, cleaned AS cleaned_paragraph, CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
+      FROM cleaned WHERE {TRAIN_YEAR} AND len(string_split(cleaned, ' ')) > {B.MIN_WORDS}"""
+    return fingerprint("data_version", DATA_COLUMNS, processed_rows), fingerprint("feature_version", ["term", "df"], "SELECT term, df FROM vocab")
+
+
+def _run_log_sql() -> str:
+    select = """SELECT 'naive_bayes' AS model_name, 'features' AS feature_table, feature_version, data_version,
+        '1.0' AS smoothing, metric_name, round(metric_value, 6) AS metric_value FROM tall, feature_version, data_version"""
+    return bayes_metrics(select, *_versions_sql())
+
+
+@query("run_log", _run_log_sql)
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run rows beside their metrics, without the random run id."""
-    _, metrics, runs = MD.train_all(*split_training(spark, vocabulary_features(spark, sf_dir)), ["naive_bayes"])
+    """Run rows beside their metrics, without the random run id; versions are fingerprints of what was trained on."""
+    store = scratch.fresh_path(spark, "features")
+    processed_year = tables.read_year(spark, stored_processed(spark, sf_dir), schema.REFERENCE_YEAR)
+    stages = FT.store_training_features(processed_year, store, vectorizer="count_idf")
+    _, metrics, runs = MD.train_all(
+        *split_training(spark, store), ["naive_bayes"],
+        feature_version=R.table_fingerprint(FT.feature_frequencies(spark, stages), ["term", "df"]),
+        data_version=R.table_fingerprint(processed_year, DATA_COLUMNS),
+    )
     joined = runs.join(metrics.drop("model_name"), "run_id")
     return rounded(joined, "metric_value").select(
         "model_name", "feature_table", "feature_version", "data_version",

@@ -101,3 +101,27 @@ def test_grids_name_real_parameters():
 def test_topics_sum_to_one(processed):
     shares = FT.topic_share_by_year(processed, k=2, max_iter=2).groupBy("year").agg(F.sum("share").alias("s"))
     assert all(abs(r["s"] - 1) < 1e-6 for r in shares.collect())
+
+
+def test_fingerprints_follow_content_only(spark):
+    df = spark.createDataFrame([(i % 7, None if i % 3 == 0 else f"t{i}", i / 4) for i in range(200)], "a int, b string, c double")
+    known = R.table_fingerprint(df)
+    assert {R.table_fingerprint(df.repartition(k, "b")) for k in (1, 5, 40)} == {known}
+    assert R.table_fingerprint(df.select("c", "b", "a")) == known and known.startswith("200-")
+    changed = df.withColumn("b", F.when(F.col("c") == 10.25, "other").otherwise(F.col("b")))
+    emptied = df.withColumn("b", F.when(F.col("c") == 10.25, "").otherwise(F.col("b")))
+    others = {R.table_fingerprint(x) for x in (changed, emptied, df.union(df.limit(1)), df.filter("c > 0"))}
+    assert len(others) == 4 and known not in others
+    assert R.table_fingerprint(df.limit(0)) == "0-0"
+    # Disjoint parts add up.
+    halves = [int(R.table_fingerprint(df.filter(c), ["a", "b", "c"]).split("-")[1]) for c in ("c < 20", "c >= 20")]
+    assert sum(halves) == int(known.split("-")[1])
+
+
+def test_feature_frequencies_of_both_vectorizers(spark, processed):
+    for options in ({"vectorizer": "count_idf"}, {"num_features": 1024}):
+        model = FT.fit_features(processed, **options)
+        found = FT.feature_frequencies(spark, model)
+        assert found.filter("df > 0").count() >= 11 and found.agg(F.max("df")).head()[0] == 120
+        again = FT.fit_features(processed.repartition(5), **options)
+        assert R.table_fingerprint(found) == R.table_fingerprint(FT.feature_frequencies(spark, again))
