@@ -533,6 +533,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents in which no benchmark item is found, with all their columns. Runs actions."""
+    """The documents in which no benchmark item is found, with all their columns.
+
+    NULL and empty texts stay; each row, of a repeated id too, is judged by its own text. Without items all
+    rows stay, and an empty table stays empty. Runs actions.
+    """
     items = found_items(docs, benchmark.filter("item_id IS NOT NULL"), text_col)
     return docs if items is None else docs.filter(F.coalesce(F.size(items), F.lit(0)) <= 0)

@@ -1,6 +1,6 @@
 """Bounded samples of labelled rows to train on."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FOLDS = 5
 
@@ -15,22 +15,23 @@ def labelled_texts(
 ) -> list:
     """At most `per_label` training rows (id, label, text) of each label, one per id, the same on each run.
 
-    Rows are taken in order of a hash of the id, found per label with bounded sorts, so neither the
-    labels nor the texts are gathered; texts are cut to `characters`. Both bounds apply to training
-    only. A document with several labels takes the largest. Runs actions.
+    Rows are taken in order of a hash of the id, all labels in one pass: each task keeps the first
+    `per_label` of a label before rows are shuffled, so neither the labels nor the texts are gathered,
+    however hot a label is. Texts are cut to `characters`. Both bounds apply to training
+    only. A document with several labels takes the
+    largest. Empty tables give no rows; other columns, whatever their names, are not looked at. Runs actions.
     """
-    own = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    own = own.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-    chosen = []
-    for (label,) in own.select("_label").distinct().orderBy("_label").collect():
-        rows = own.filter(F.col("_label") == label).select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(per_label)
-        chosen += [(row[0], label) for row in rows.collect()]
+    own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    own = own.filter(F.col("_label").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id")).distinct()
+    by_hash = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
+    chosen = own.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= per_label).drop("_rank").collect()
     if not chosen:
         return []
     picked = docs.sparkSession.createDataFrame(chosen, own.schema).groupBy("_id").agg(F.max("_label").alias("_label"))
-    texts = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).select(
-        "_id", "_label", F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, characters).alias("_text")
+    narrow = docs.select(
+        F.col(id_col).alias("_id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, characters).alias("_text")
     )
+    texts = narrow.join(F.broadcast(picked), "_id")
     # One text of an id, however many rows repeat it.
     first = F.min_by("_text", F.struct(F.xxhash64("_text"), F.col("_text"))).alias("_text")
     return sorted(tuple(r) for r in texts.groupBy("_id", "_label").agg(first).collect())

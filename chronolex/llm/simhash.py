@@ -156,6 +156,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows with a NULL id cannot be told apart and all stay.
     """
     kept = near_duplicates(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
-    kept = materialize(kept.select(F.col(id_col).alias("_kept")).distinct(), "kept")
-    stays = docs.join(kept.hint("shuffle_hash"), F.col(id_col) == F.col("_kept"), "left_semi")
+    kept = materialize(kept.select(id_col).distinct(), "kept")
+    stays = docs.join(kept.hint("shuffle_hash"), [id_col], "left_semi")
     return stays.unionByName(docs.filter(F.col(id_col).isNull()))

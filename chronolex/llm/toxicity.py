@@ -386,6 +386,10 @@ def toxicity(
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not predicted to be toxic, with all their columns. Runs actions."""
+    """The documents that are not predicted to be toxic, with all their columns.
+
+    NULL and empty texts, repeated ids and tables without labels are treated as in `toxicity`; each row is
+    judged by its own text. An empty table stays empty. Runs actions.
+    """
     network = learn(docs, labels, id_col, text_col)
     return docs.filter(score_column(docs, F.col(text_col), network) < 0.5)

@@ -326,9 +326,9 @@ def test_pipeline_stages(spark):
             assert len(tokens) == docs.count()
             assert sum(r["n_tokens"] for r in tokens) == max(r["start"] + r["n_tokens"] for r in tokens)
         if name == "near_duplicates":
-            from test_dedup import brute_components, brute_fingerprint
+            from test_near_copies import brute_near_copies
 
-            label = brute_components({r["doc_id"]: brute_fingerprint(r["text"]) for r in docs.collect()})
+            label = brute_near_copies([(r["doc_id"], r["text"]) for r in docs.collect()])
             assert sorted(ids) == sorted(set(label.values()))
         docs = after
 
