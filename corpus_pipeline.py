@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronolex.llm import decontaminate, mixing, simhash, token_files, toxicity
+from chronolex.llm import decontaminate, mixing, near_copies, token_files, toxicity
 from chronolex.sources.scratch import fresh_path, materialize, name_folder
 
 
@@ -16,8 +16,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays, the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each near-duplicate component stays, the one with the smallest id.
+
+    By SimHash blocks at the default of this kind of stage: shingles of five words, a similarity of 0.8 or more.
+    """
+    return near_copies.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
