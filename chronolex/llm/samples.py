@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FOLDS = 5
+# A label's rows are ranked in so many parts, whose first rows are ranked together.
+PARTS = 64
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -23,8 +25,11 @@ def labelled_texts(
     """
     own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
     own = own.filter(F.col("_label").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id")).distinct()
-    by_hash = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
-    chosen = own.withColumn("_rank", F.row_number().over(by_hash)).filter(F.col("_rank") <= per_label).drop("_rank").collect()
+    order = [F.xxhash64("_id"), F.col("_id")]
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) <= per_label
+    parts = own.withColumn("_part", F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(PARTS)))
+    in_part = parts.withColumn("_first", first("_label", "_part")).filter("_first")
+    chosen = in_part.withColumn("_first", first("_label")).filter("_first").select("_id", "_label").collect()
     if not chosen:
         return []
     picked = docs.sparkSession.createDataFrame(chosen, own.schema).groupBy("_id").agg(F.max("_label").alias("_label"))
