@@ -26,6 +26,11 @@ def bin_counts(p: Column, right_closed: bool = False) -> Column:
     return F.array(*[F.count_if(_in_bin(p, i, right_closed)) for i in range(N_BINS)])
 
 
+def right_closed_bin(p: Column) -> Column:
+    """Right-closed bin of `p`, the one that `bin_counts` counts it in; NULL outside [0, 1] and for NULL."""
+    return F.coalesce(*[F.when(_in_bin(p, i, True), F.lit(i)) for i in range(N_BINS)])
+
+
 # Values are summed as whole numbers of 1e-15.
 EXACT, EXACT_LIMIT = 1e15, 9_000.0
 

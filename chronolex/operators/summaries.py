@@ -1,10 +1,12 @@
 """Summary tables for a dashboard."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chronolex import schema
 from chronolex.functions import stats
 from chronolex.operators.running import running_sums
+from chronolex.sources.published import publish
+from chronolex.sources.scratch import materialize
 
 
 def year_summary(predictions: DataFrame) -> DataFrame:
@@ -12,6 +14,10 @@ def year_summary(predictions: DataFrame) -> DataFrame:
     counts = predictions.groupBy("year", "model_name").agg(
         F.count("*").alias("total_paragraphs"), F.count_if(F.col("pred_label") == 1.0).alias("partisan")
     )
+    return _shares(counts)
+
+
+def _shares(counts: DataFrame) -> DataFrame:
     low, high = stats.wilson_interval(F.col("partisan"), F.col("total_paragraphs"))
     return counts.select(
         "year",
@@ -38,6 +44,10 @@ def confidence_heatmap(predictions: DataFrame, prob_col: str = "prob_republican"
     bins = predictions.filter(p.isNotNull()).groupBy("year").agg(
         stats.bin_counts(p, right_closed=True).alias("bins")
     )
+    return _densities(bins)
+
+
+def _densities(bins: DataFrame) -> DataFrame:
     total = F.aggregate("bins", F.lit(0).cast("long"), lambda a, x: a + x)
     rows = bins.select("year", total.alias("total"), F.posexplode("bins").alias("i", "count"))
     return rows.select(
@@ -65,20 +75,27 @@ def drift_over_time(metrics: DataFrame, metric: str = "psi_prob_republican") ->
 def prob_histogram(predictions: DataFrame, prob_col: str = "prob_republican", bins: int = 30) -> DataFrame:
     """Rows per model, year and equal-width bin of [0, 1]."""
     p = F.col(prob_col)
-    index = F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
     return (
         predictions.filter(p.between(0.0, 1.0))
-        .groupBy("model_name", "year", index.alias("bin"))
+        .groupBy("model_name", "year", _equal_bin(p, bins).alias("bin"))
         .agg(F.count("*").alias("count"))
     )
 
 
+def _equal_bin(p: Column, bins: int) -> Column:
+    return F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
+
+
 def prob_ecdf(
     predictions: DataFrame, prob_col: str = "prob_republican"
 ) -> DataFrame:
     """Share of a year's rows at or below each distinct probability. Runs actions."""
     p = F.col(prob_col)
     counts = predictions.filter(p.isNotNull()).groupBy("year", p.alias("p")).agg(F.count("*").alias("n"))
+    return _ecdf(counts)
+
+
+def _ecdf(counts: DataFrame) -> DataFrame:
     running = running_sums(counts, ["year"], [F.col("p")], ["n"])
     return running.select("year", "p", (F.col("cum_n") / F.col("total_n")).alias("ecdf"))
 
@@ -88,16 +105,72 @@ def raw_head(predictions: DataFrame, order_cols: list[str], n: int = 500) -> Dat
     return predictions.orderBy(*order_cols).limit(n)
 
 
-def refresh_views(predictions: DataFrame, metrics: DataFrame, base_path: str) -> dict[str, str]:
-    """Write every summary below `base_path`, replacing earlier ones; returns name -> path."""
-    views = {
-        "year_summary": year_summary(predictions),
-        "confidence_heatmap": confidence_heatmap(predictions),
-        "prob_histogram": prob_histogram(predictions),
-        "prob_ecdf": prob_ecdf(predictions),
-        "drift_over_time": drift_over_time(metrics),
+# Which columns each view groups by.
+VIEW_KEYS = {
+    "year_summary": ["year", "model_name"],
+    "confidence_heatmap": ["year", "heat_bin"],
+    "prob_histogram": ["year", "model_name", "hist_bin"],
+    "prob_ecdf": ["year", "p"],
+}
+
+
+def view_counts(predictions: DataFrame, prob_col: str = "prob_republican", bins: int = 30) -> DataFrame:
+    """The counts that all views of the predictions are made of, from one scan and one shuffle.
+
+    One row per view and group: rows, those of label 1, and those with a probability. Columns that a view does
+    not group by are NULL. Every grouping set combines before the shuffle.
+    """
+    p = F.col(prob_col)
+    rows = predictions.select(
+        "year",
+        "model_name",
+        stats.right_closed_bin(p).alias("heat_bin"),
+        F.when(p.between(0.0, 1.0), _equal_bin(p, bins)).alias("hist_bin"),
+        p.alias("p"),
+        F.coalesce(F.col("pred_label") == 1.0, F.lit(False)).alias("is_partisan"),
+        p.isNotNull().alias("is_scored"),
+    )
+    keys = ["year", "model_name", "heat_bin", "hist_bin", "p"]
+    grouped_by = lambda column: F.grouping(column) == 0
+    view = (
+        F.when(grouped_by("p"), "prob_ecdf")
+        .when(grouped_by("heat_bin"), "confidence_heatmap")
+        .when(grouped_by("hist_bin"), "prob_histogram")
+        .otherwise("year_summary")
+    )
+    sets = [[F.col(c) for c in columns] for columns in VIEW_KEYS.values()]
+    return rows.groupingSets(sets, *[F.col(c) for c in keys]).agg(
+        view.alias("view"),
+        F.count("*").alias("n"),
+        F.count_if("is_partisan").alias("partisan"),
+        F.count_if("is_scored").alias("scored"),
+    )
+
+
+def views_of_counts(counts: DataFrame) -> dict[str, DataFrame]:
+    """The views of the predictions from stored `view_counts`. Runs actions."""
+    of = lambda view: counts.filter(F.col("view") == view)
+    in_bin = lambda i: F.sum(F.when(F.col("heat_bin") == i, F.col("n")).otherwise(0))
+    heat = (
+        of("confidence_heatmap")
+        .filter(F.col("scored") > 0)
+        .groupBy("year")
+        .agg(F.array(*[in_bin(i) for i in range(stats.N_BINS)]).alias("bins"))
+    )
+    return {
+        "year_summary": _shares(of("year_summary").withColumnRenamed("n", "total_paragraphs")),
+        "confidence_heatmap": _densities(heat),
+        "prob_histogram": of("prob_histogram")
+        .filter(F.col("hist_bin").isNotNull())
+        .select("model_name", "year", F.col("hist_bin").alias("bin"), F.col("n").alias("count")),
+        "prob_ecdf": _ecdf(of("prob_ecdf").filter(F.col("p").isNotNull()).select("year", "p", "n")),
     }
-    paths = {name: f"{base_path}/{name}" for name in views}
-    for name, view in views.items():
-        view.write.mode("overwrite").parquet(paths[name])
-    return paths
+
+
+def refresh_views(predictions: DataFrame, metrics: DataFrame, base_path: str) -> dict[str, str]:
+    """Write every summary below `base_path` and publish them together; returns name -> path. Runs actions.
+
+    Predictions are scanned once. Readers ask `published.current_set` for the newest whole set.
+    """
+    counts = materialize(view_counts(predictions), "view-counts")
+    return publish({**views_of_counts(counts), "drift_over_time": drift_over_time(metrics)}, base_path)

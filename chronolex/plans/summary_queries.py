@@ -1,12 +1,12 @@
 """Dashboard summaries and prediction tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chronolex.operators import contracts as C, drift as D, summaries as S
 from chronolex.plans import bindings as B
-from chronolex.plans.catalog import query, rounded, with_ctes
+from chronolex.plans.catalog import ORACLES, query, rounded, with_ctes
 from chronolex.plans.drift_queries import REF, REPORT_CTES
-from chronolex.sources import scratch, tables
+from chronolex.sources import published, scratch, tables
 
 PRED_COLUMNS = "series, issue, paragraph_id, year, pred_label, prob_democrat, prob_republican, model_name, model_version"
 
@@ -198,11 +198,51 @@ def append_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def refresh_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every summary as a table below one folder and report their sizes."""
-    predictions = B.predictions(spark, sf_dir)
-    base = scratch.fresh_path(spark, "views")
-    written = S.refresh_views(predictions, D.data_drift(predictions, REF), base)
     counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("view"), F.count("*").alias("rows"))
-        for name, path in written.items()
+        view.agg(F.lit(name).alias("view"), F.count("*").alias("rows"))
+        for name, view in _refreshed(spark, sf_dir).items()
     ]
     return C.union_reports(counts)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The views as a dashboard reads them after a refresh."""
+    predictions = B.predictions(spark, sf_dir)
+    base = scratch.fresh_path(spark, "views")
+    S.refresh_views(predictions, D.data_drift(predictions, REF), base)
+    return {name: spark.read.parquet(path) for name, path in published.current_set(spark, base).items()}
+
+
+HEAT_SQL = ORACLES["confidence_heatmap"]()
+ECDF_SQL = ORACLES["prob_ecdf"]()
+HISTOGRAM_SQL = ORACLES["prob_histogram"]()
+
+
+@query(
+    "published_views",
+    with_ctes(
+        B.PREDS,
+        select=f"""SELECT 'year_summary' AS view, model_name, year, 'partisan_fraction' AS item, partisan_fraction AS value FROM ({SUMMARY})
+          UNION ALL SELECT 'year_summary', model_name, year, 'ci_upper', ci_upper FROM ({SUMMARY})
+          UNION ALL SELECT 'confidence_heatmap', NULL, year, bin, density FROM ({HEAT_SQL})
+          UNION ALL SELECT 'prob_histogram', model_name, year, CAST(bin AS VARCHAR), count::DOUBLE FROM ({HISTOGRAM_SQL})
+          UNION ALL SELECT 'prob_ecdf', NULL, year, CAST(CAST(round(p * 1000000) AS BIGINT) AS VARCHAR), ecdf FROM ({ECDF_SQL})""",
+    ),
+)
+def published_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the published views of the predictions hold, one row per value."""
+    views = _refreshed(spark, sf_dir)
+    none = F.lit(None).cast("string")
+
+    def tall(view: str, item: Column, value: Column, model: Column = F.col("model_name")) -> DataFrame:
+        return views[view].select(
+            F.lit(view).alias("view"), model.alias("model_name"), "year", item.alias("item"), value.cast("double").alias("value")
+        )
+
+    return C.union_reports([
+        tall("year_summary", F.lit("partisan_fraction"), F.col("partisan_fraction")),
+        tall("year_summary", F.lit("ci_upper"), F.col("ci_upper")),
+        tall("confidence_heatmap", F.col("bin"), F.round("density", 6), none),
+        tall("prob_histogram", F.col("bin").cast("string"), F.col("count")),
+        tall("prob_ecdf", F.round(F.col("p") * 1_000_000).cast("long").cast("string"), F.round("ecdf", 6), none),
+    ])
