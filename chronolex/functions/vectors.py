@@ -14,5 +14,10 @@ def stored_values(vector: Column) -> Column:
     return F.unwrap_udt(vector).getField("values")
 
 
+def stored_indices(vector: Column) -> Column:
+    """Places of the stored values of a sparse vector; NULL for a dense one."""
+    return F.unwrap_udt(vector).getField("indices")
+
+
 def nonzero_count(vector: Column) -> Column:
     return F.size(F.filter(stored_values(vector), lambda x: x != 0.0))

@@ -8,7 +8,9 @@ from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, Hashi
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, stopword_remover, tokenizer, vocabulary
+from chronolex.functions.vectors import stored_indices, stored_values
+from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, stopword_remover, term_profile, tokenizer, vocabulary
+from chronolex.sources.scratch import materialize
 from chronolex.sources.tables import load_feature_model, save_feature_model, write_year
 
 NUM_FEATURES = 262_144
@@ -125,3 +127,35 @@ def topic_share_by_year(
     topics = lda.fit(counted).transform(counted)
     weights = topics.select("year", F.posexplode(vector_to_array("topicDistribution")).alias("topic", "weight"))
     return weights.groupBy("year", "topic").agg(F.avg("weight").alias("share"))
+
+
+def bucket_dictionary(words: DataFrame, num_features: int = NUM_FEATURES, words_col: str = "filtered_words") -> DataFrame:
+    """The bucket of every term: (term, bucket, tf, df), one row per distinct term, written once.
+
+    Hashed vectors forget their terms; this table names them, and shows which terms share a bucket. Each
+    distinct term is hashed once, by the vectorizer itself. An empty table has no terms. Runs an action.
+    """
+    profile = term_profile(words, [], words_col).withColumn("_word", F.array("term"))
+    hashed = HashingTF(inputCol="_word", outputCol="_vector", numFeatures=num_features).transform(profile)
+    return materialize(hashed.select("term", stored_indices(F.col("_vector"))[0].alias("bucket"), "tf", "df"), "buckets")
+
+
+def bucket_collisions(dictionary: DataFrame) -> DataFrame:
+    """Buckets that several terms share: how many, the most frequent one, and its share of the occurrences.
+
+    Ties go to the smaller term. A bucket holds few of the distinct terms, so no list of them is built.
+    """
+    first = F.min_by("term", F.struct((-F.col("tf")).alias("tf"), "term"))
+    grouped = dictionary.groupBy("bucket").agg(
+        F.count("*").alias("terms"), first.alias("main_term"), F.max("tf").alias("main_tf"), F.sum("tf").alias("tf")
+    )
+    return grouped.filter(F.col("terms") > 1).select(
+        "bucket", "terms", "main_term", (F.col("main_tf") / F.col("tf")).alias("main_share"), "tf"
+    )
+
+
+def vector_entries(features: DataFrame, keys: list[str], vector_col: str = "features") -> DataFrame:
+    """Sparse vectors in long form: keys, bucket, weight, without the zeros. A NULL vector has no entries."""
+    vector = F.col(vector_col)
+    pairs = F.arrays_zip(stored_indices(vector).alias("bucket"), stored_values(vector).alias("weight"))
+    return features.select(*keys, F.inline(pairs)).filter(F.col("weight") != 0.0)

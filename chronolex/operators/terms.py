@@ -36,7 +36,7 @@ def term_counts(df: DataFrame, keys: list[str], words_col: str = "filtered_words
     return exploded.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
-def _term_profile(df: DataFrame, keys: list[str], words_col: str) -> DataFrame:
+def term_profile(df: DataFrame, keys: list[str], words_col: str) -> DataFrame:
     """`tf` and `df` (rows holding the term) per key and term in one shuffle.
 
     Each row emits its words and its distinct words, so no (row, term) table is shuffled.
@@ -67,7 +67,7 @@ def vocabulary(
     kept in place, and only terms of that very frequency are ranked. Runs actions.
     """
     profile = materialize(
-        _term_profile(df, [], words_col).filter(F.col("df") >= min_doc_freq), "term-profile"
+        term_profile(df, [], words_col).filter(F.col("df") >= min_doc_freq), "term-profile"
     )
     by_frequency = profile.groupBy("tf").agg(F.count("*").alias("n"))
     more = Window.orderBy(F.col("tf").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -222,7 +222,7 @@ def feature_drift(
     others = [y for y in years if y != ref_year]
     scope = df.filter(F.col("year").isin([ref_year, *others]))
     rows = _year_map(scope.groupBy("year").agg(F.count("*").alias("n")), "n")
-    sides = _beside_reference(_term_profile(scope, ["year"], words_col), ref_year, others, ["tf", "df"])
+    sides = _beside_reference(term_profile(scope, ["year"], words_col), ref_year, others, ["tf", "df"])
     n_ref = rows[F.lit(ref_year)]
     idf = _idf(n_ref, F.col("ref_df"), min_doc_freq)
     means = sides.select(

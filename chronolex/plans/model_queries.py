@@ -7,7 +7,9 @@ from chronolex import schema
 from chronolex.functions.vectors import nonzero_count, stored_values
 from chronolex.operators import (
     evaluation as E, features as FT, models as MD, optimality as O, paragraphs as P, registry as R, split as SP,
+    terms as TM,
 )
+from chronolex.operators.skew import join_lookup
 from chronolex.plans import bindings as B
 from chronolex.plans.catalog import query, rounded, with_ctes
 from chronolex.plans.text_queries import LINES, NUMBERED, cleaned_sql, english_stopwords, sql_list
@@ -303,13 +305,74 @@ def feature_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(FT.apply_features(tables.load_feature_model(path), rows))
 
 
-@query("tfidf_features")
+def _bucket_ctes() -> tuple[str, ...]:
+    """Hashed TF-IDF from the raw text on. The bucket is MurmurHash3 (32 bits, seed 42) of the term's UTF-8 bytes."""
+    word = lambda x: f"(({x}) & 4294967295)"
+    turn = lambda x, by: word(f"(({x}) << {by}) | (({x}) >> {32 - by})")
+    times = lambda x, y: word(f"({x}) * {y}::UBIGINT")
+    mixed = lambda k: times(turn(times(k, 3432918353), 15), 461845907)
+    byte = lambda at: f"('0x' || substr(h, {at}, 2))::UBIGINT"
+    # A block is four bytes, the lowest first; what is left at the end is mixed in without a turn.
+    block = f"{byte('8 * i + 1')} | ({byte('8 * i + 3')} << 8) | ({byte('8 * i + 5')} << 16) | ({byte('8 * i + 7')} << 24)"
+    left = " | ".join(
+        f"CASE WHEN n % 4 > {j} THEN {byte(f'8 * (n // 4) + {2 * j + 1}')} << {8 * j} ELSE 0::UBIGINT END" for j in range(3)
+    )
+    step = word(f"{times(turn('xor(a, b)', 13), 5)} + 3864292196")
+    half = lambda x, by: f"xor({x}, {x} >> {by})"
+    return (
+        "bytes AS (SELECT term, hex(encode(term)) AS h, strlen(term) AS n FROM (SELECT DISTINCT term FROM long))",
+        f"""blocks AS (SELECT term, n, {left} AS rest, list_prepend(42::UBIGINT,
+            list_transform(range(n // 4), lambda i: {mixed(block)})) AS ks FROM bytes)""",
+        f"mixed AS (SELECT term, n, xor(xor(list_reduce(ks, lambda a, b: {step}), {mixed('rest')}), n::UBIGINT) AS h0 FROM blocks)",
+        f"mixed1 AS (SELECT term, {times(half('h0', 16), 2246822507)} AS h1 FROM mixed)",
+        f"mixed2 AS (SELECT term, {times(half('h1', 13), 3266489909)} AS h2 FROM mixed1)",
+        f"dictionary AS (SELECT term, ({half('h2', 16)} % 262144)::INTEGER AS bucket FROM mixed2)",
+        f"bucketed AS (SELECT {KEY}, bucket, sum(tf) AS tf FROM long JOIN dictionary USING (term) GROUP BY ALL)",
+        "frequent AS (SELECT bucket, count(*) AS df FROM bucketed GROUP BY bucket HAVING count(*) >= 5)",
+        """weighed AS (SELECT b.*, tf * ln(((SELECT count(*) FROM docs) + 1) / (df + 1)) AS x
+          FROM bucketed b JOIN frequent USING (bucket))""",
+    )
+
+
+HASHED_SQL = f"""SELECT {KEY}, label, count(x) FILTER (x <> 0) AS nonzero, round(coalesce(sum(x), 0), 6) AS weight
+  FROM docs LEFT JOIN weighed USING ({KEY}) GROUP BY ALL"""
+
+
+@query("tfidf_features", lambda: with_ctes(*feature_ctes("true"), *_bucket_ctes(), select=HASHED_SQL))
 def tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default, hashed vectors."""
     rows = spark.read.parquet(stored_processed(spark, sf_dir))
     return readable(FT.apply_features(FT.fit_features(rows), rows))
 
 
+@query(
+    "bucket_dictionary",
+    lambda: with_ctes(
+        *feature_ctes("true"), *_bucket_ctes(),
+        select="SELECT term, bucket, sum(tf)::BIGINT AS tf, count(*) AS df FROM long JOIN dictionary USING (term) GROUP BY ALL",
+    ),
+)
+def bucket_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FT.bucket_dictionary(TM.tokenize(spark.read.parquet(stored_processed(spark, sf_dir))))
+
+
+@query(
+    "hashed_entries",
+    lambda: with_ctes(
+        *feature_ctes("true"), *_bucket_ctes(),
+        "names AS (SELECT bucket, count(*) AS terms FROM dictionary GROUP BY bucket)",
+        select=f"""SELECT {KEY}, w.bucket, round(x, 6) AS weight, terms FROM weighed w JOIN names USING (bucket) WHERE x <> 0""",
+    ),
+)
+def hashed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed vectors in long form, each entry beside the number of terms that share its bucket."""
+    rows = spark.read.parquet(stored_processed(spark, sf_dir))
+    names = FT.bucket_dictionary(TM.tokenize(rows)).groupBy("bucket").agg(F.count("*").alias("terms"))
+    entries = FT.vector_entries(FT.apply_features(FT.fit_features(rows), rows), KEY.split(", "))
+    # One row per used bucket of a fixed number of buckets; measured before it is broadcast.
+    return rounded(join_lookup(entries, scratch.materialize(names, "bucket-terms"), ["bucket"], "inner"), "weight")
+
+
 def split_training(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
     return SP.group_split(tables.read_year(spark, store, schema.REFERENCE_YEAR))
 
