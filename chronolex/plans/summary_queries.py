@@ -246,3 +246,31 @@ def published_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         tall("prob_histogram", F.col("bin").cast("string"), F.col("count")),
         tall("prob_ecdf", F.round(F.col("p") * 1_000_000).cast("long").cast("string"), F.round("ecdf", 6), none),
     ])
+
+
+@query(
+    "prob_sketch_ecdf",
+    with_ctes(
+        B.PREDS,
+        select="""SELECT p.year, g.i / 20.0::DOUBLE AS p, count(*) AS n,
+            round(count_if(prob_republican <= g.i / 20.0::DOUBLE) / count(*), 6) AS exact_ecdf, true AS within_bound
+          FROM preds p CROSS JOIN range(21) AS g(i) WHERE prob_republican IS NOT NULL GROUP BY ALL""",
+    ),
+)
+def prob_sketch_ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares from sketches per model and year merged to years, held against exact ones.
+
+    The bound allows three times the error that one of a hundred ranks exceeds.
+    """
+    predictions = B.predictions(spark, sf_dir)
+    fine = scratch.materialize(S.prob_sketches(predictions, ["year", "model_name"]), "sketches")
+    approximate = S.sketch_ecdf(S.merge_sketches(fine, ["year"]), ["year"], steps=20)
+    at_or_below = [F.count_if(F.col("prob_republican") <= i / 20.0) / F.count("*") for i in range(21)]
+    exact = predictions.filter(F.col("prob_republican").isNotNull()).groupBy("year").agg(
+        F.count("*").alias("n"), F.array(*at_or_below).alias("shares")
+    )
+    step = F.round(F.col("p") * 20).cast("int")
+    return approximate.join(exact, "year").select(
+        "year", "p", "n", F.round(F.col("shares")[step], 6).alias("exact_ecdf"),
+        (F.abs(F.col("ecdf") - F.col("shares")[step]) <= 3 * S.rank_error()).alias("within_bound"),
+    )
