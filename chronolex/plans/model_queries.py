@@ -7,7 +7,7 @@ from chronolex import schema
 from chronolex.functions.vectors import nonzero_count, stored_values
 from chronolex.operators import (
     evaluation as E, features as FT, models as MD, optimality as O, paragraphs as P, registry as R, split as SP,
-    terms as TM,
+    terms as TM, topics as TP,
 )
 from chronolex.operators.skew import join_lookup
 from chronolex.plans import bindings as B
@@ -583,3 +583,39 @@ def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_share_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(stored_processed(spark, sf_dir))
     return FT.topic_share_by_year(rows)
+
+
+TOPICS, ROUNDS = 4, 2
+
+
+def topic_sql() -> str:
+    """Rounds of expectation and maximisation over (paragraph, term, topic)."""
+    start = f"""1 + ('0x' || substr(md5('0/' || z || '/' || term), 1, 8))::UBIGINT / 4294967296.0"""
+    ctes = [
+        "numbered_docs AS (SELECT row_number() OVER () AS d, year, words FROM docs)",
+        f"topic AS (SELECT CAST(z AS INTEGER) AS z FROM range({TOPICS}) AS r(z))",
+        """counts AS MATERIALIZED (SELECT d, term, count(*) AS n FROM (SELECT d, unnest(words) AS term FROM numbered_docs)
+          JOIN vocab USING (term) GROUP BY ALL)""",
+        f"w0 AS (SELECT term, z, w / sum(w) OVER (PARTITION BY z) AS w FROM (SELECT term, z, {start} AS w FROM vocab, topic))",
+        f"s0 AS (SELECT d, z, 1.0::DOUBLE / {TOPICS} AS s FROM numbered_docs, topic)",
+    ]
+    for i in range(ROUNDS):
+        ctes += [
+            f"""e{i} AS MATERIALIZED (SELECT d, term, z, n * w * s / sum(w * s) OVER (PARTITION BY d, term) AS e
+              FROM counts JOIN w{i} USING (term) JOIN s{i} USING (d, z))""",
+            f"w{i + 1} AS MATERIALIZED (SELECT term, z, sum(e) / sum(sum(e)) OVER (PARTITION BY z) AS w FROM e{i} GROUP BY term, z)",
+            f"""s{i + 1} AS MATERIALIZED (SELECT d, z, coalesce(m.s, o.s) AS s FROM s{i} o LEFT JOIN
+              (SELECT d, z, sum(e) / sum(sum(e)) OVER (PARTITION BY d) AS s FROM e{i} GROUP BY d, z) m USING (d, z))""",
+        ]
+    return with_ctes(
+        *feature_ctes("true"), *ctes,
+        select=f"SELECT year, z AS topic, round(avg(s), 6) AS share FROM s{ROUNDS} JOIN numbered_docs USING (d) GROUP BY ALL",
+    )
+
+
+@query("topic_shares_em", topic_sql)
+def topic_shares_em(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic shares by year after two rounds, which SQL can follow; the operator's default is more rounds."""
+    words = TM.tokenize(spark.read.parquet(stored_processed(spark, sf_dir)))
+    shares, _ = TP.fit_topics(words, ["year"], topics=TOPICS, iterations=ROUNDS)
+    return rounded(TP.share_by_year(shares), "share")
