@@ -1,13 +1,16 @@
 """The three classifiers: training, tuning, scoring."""
 
+import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import product
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronolex.functions.vectors import vector_element
 from chronolex.operators import evaluation as E, registry
@@ -123,6 +126,12 @@ def candidate_versions(
     )
 
 
+def _fold(folds: int, seed: int) -> Column:
+    """Fold of a row, the same for each (series, issue)."""
+    # A hash of its own: the split's hash would leave the last fold short of training groups.
+    return F.least(F.floor(group_fraction(f"fold-{seed}") * folds), F.lit(folds - 1)).cast("int")
+
+
 def tune(
     name: str,
     train: DataFrame,
@@ -136,8 +145,7 @@ def tune(
     builder = ParamGridBuilder()
     for param, values in (grid or GRIDS[name]).items():
         builder = builder.addGrid(estimator.getParam(param), values)
-    # A hash of its own: the split's hash would leave the last fold short of training groups.
-    fold = F.least(F.floor(group_fraction(f"fold-{seed}") * folds), F.lit(folds - 1)).cast("int")
+    fold = _fold(folds, seed)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=builder.build(),
@@ -149,6 +157,79 @@ def tune(
     return search.fit(training_rows(train).withColumn("fold", fold))
 
 
+def grid_points(grid: dict[str, list]) -> list[dict]:
+    """All combinations of a grid's values."""
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def _fit_limits(name: str, point: dict, limits: list[int], rows: DataFrame) -> dict[int, tuple[Model, bool]]:
+    """Models of one grid point by iteration limit, and whether each took a fit of its own.
+
+    A fit that ended by itself within a smaller limit is the model of that limit, too.
+    """
+    found, last, iterations = {}, None, math.inf
+    for limit in sorted(limits, reverse=True):
+        own = iterations > limit
+        if own:
+            last = build_model(name, **point, maxIter=limit).fit(rows)
+            summary = last.summary() if callable(last.summary) else last.summary
+            iterations = summary.totalIterations
+        found[limit] = (last, own)
+    return found
+
+
+def tune_linear(
+    name: str,
+    train: DataFrame,
+    grid: dict[str, list] | None = None,
+    folds: int = 3,
+    seed: int = 0,
+    parallelism: int = 3,
+) -> DataFrame:
+    """Grid search of an iterative linear model: parameters, mean F1 over folds, and fits it took.
+
+    The same folds and figures as `tune`. Points that differ in the iteration limit only share a fit wherever
+    the longer one ended within the shorter limit, which is most of them. Rows of a fold are held in memory or on local
+    disk while its points are fitted, `parallelism` at a time, and released; a lost executor's part is read again.
+    A fold without rows, on either side, leaves its points without a figure there. Runs actions.
+    """
+    chosen = grid or GRIDS[name]
+    limits = chosen.get("maxIter", [PARAMS[name]["maxIter"]])
+    points = grid_points({k: v for k, v in chosen.items() if k != "maxIter"})
+    rows = training_rows(train).withColumn("fold", _fold(folds, seed))
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    figures = []
+    for k in range(folds):
+        fitting = rows.filter(F.col("fold") != k).persist(StorageLevel.MEMORY_AND_DISK)
+        held = rows.filter(F.col("fold") == k).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not (fitting.head(1) and held.head(1)):
+                continue
+
+            def judged(point: dict) -> list[tuple]:
+                models = _fit_limits(name, point, limits, fitting)
+                f1 = {id(m): judge.evaluate(m.transform(held)) for m, own in models.values() if own}
+                return [(*point.values(), limit, f1[id(m)], int(own)) for limit, (m, own) in models.items()]
+
+            with ThreadPoolExecutor(parallelism) as pool:
+                figures += [row for some in pool.map(inheritable_thread_target(train.sparkSession)(judged), points) for row in some]
+        finally:
+            fitting.unpersist()
+            held.unpersist()
+    keys = [*points[0], "maxIter"]
+    schema = ", ".join(f"{c} {'int' if c == 'maxIter' else 'double'}" for c in keys) + ", f1 double, own int"
+    table = train.sparkSession.createDataFrame(figures, schema)
+    return table.groupBy(*keys).agg(F.avg("f1").alias("f1"), F.sum("own").alias("fits"))
+
+
+def best_point(figures: DataFrame) -> dict:
+    """The parameters with the highest mean F1; of equal ones the more regular, then the one with fewer iterations."""
+    keys = [c for c in figures.columns if c not in ("f1", "fits")]
+    order = [F.col(c) if c == "maxIter" else F.col(c).desc() for c in keys]
+    best = figures.orderBy(F.round("f1", 9).desc(), *order).select(*keys).head()
+    return best.asDict() if best else {}
+
+
 def score(model: Model, features: DataFrame, model_name: str, model_version: str, year: int | None = None) -> DataFrame:
     """Batch predictions in the fixed output layout, lazily; NULL probabilities if the model has none."""
     scored = model.transform(features).withColumnRenamed("prediction", "pred_label")
