@@ -533,22 +533,6 @@ def tune_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.createDataFrame(points, "smoothing double, f1 double"), "f1")
 
 
-def _tuned(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    train, _ = split_training(spark, vocabulary_features(spark, sf_dir))
-    return rounded(MD.tune_linear(name, scratch.materialize(train, "training-rows")), "f1")
-
-
-@query("tune_lr")
-def tune_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated F1 of every grid point of logistic regression, and the fits each took."""
-    return _tuned(spark, sf_dir, "logistic_regression")
-
-
-@query("tune_svc")
-def tune_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tuned(spark, sf_dir, "linear_svc")
-
-
 def _scored(spark: SparkSession, store: str, name: str) -> DataFrame:
     """Train on the training year, register and promote, then score every year with Production."""
     fitted, metrics, _ = MD.train_all(*split_training(spark, store), [name])
