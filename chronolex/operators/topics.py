@@ -1,15 +1,21 @@
 """Topics by expectation maximisation, as sums that do not depend on the order of rows."""
 
-from pyspark.ml.feature import CountVectorizerModel
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from chronolex.functions.vectors import stored_indices, stored_values
 from chronolex.operators.terms import MIN_DOC_FREQ, VOCABULARY_SIZE, vocabulary
 from chronolex.sources.scratch import materialize
 
 TOPICS, ITERATIONS = 10, 20
 # Expected counts are summed as whole numbers of 1e-9: the same under any partitioning.
 UNIT = 1e9
+# Occurrences after which a task hands on its sums: those of one term stay below 2^63 units.
+OCCURRENCES = 4_000_000_000
 
 
 def _start(term: Column, topics: int, seed: int) -> Column:
@@ -30,17 +36,40 @@ def _normalised(values: Column) -> Column:
     return _let(values, lambda v: _let(total(v), lambda t: over(v, t)))
 
 
-def _expected_in(topic: int) -> Column:
-    return F.aggregate("expected", F.lit(0.0), lambda a, e: a + F.get(e, F.lit(topic)))
+def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Lengths of lists, and their values one after the other; NULL is empty."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+
+
+def _lists(lengths: np.ndarray, values: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def _numbered_counts(terms: list[str]):
+    """The words of each row as numbers `ids` and counts `ns` of its terms; other words are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(terms, pa.string())
+        for batch in batches:
+            lengths, words = _flat(batch.column(batch.num_columns - 1))
+            found = pc.index_in(words.cast(pa.string()), known, skip_nulls=True)
+            inside = found.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(batch)), lengths)[inside]
+            pairs, counts = np.unique(row * max(1, len(terms)) + found.drop_null().to_numpy(), return_counts=True)
+            row, ids = np.divmod(pairs, max(1, len(terms)))
+            per_row = np.bincount(row, minlength=len(batch))
+            columns = [_lists(per_row, ids.astype(np.int32)), _lists(per_row, counts.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + columns, names=batch.schema.names[:-1] + ["ids", "ns"])
+
+    return run
 
 
 def _with_counts(words: DataFrame, terms: list[str], columns: list[str], words_col: str) -> DataFrame:
     """Rows with the numbers and counts of their vocabulary terms, as arrays `ids` and `ns`."""
-    counts = CountVectorizerModel.from_vocabulary(terms or [""], inputCol=words_col, outputCol="_counts")
-    known = words.select(*columns, F.coalesce(words_col, F.array().cast("array<string>")).alias(words_col))
-    return counts.transform(known).select(
-        *columns, stored_indices(F.col("_counts")).alias("ids"), stored_values(F.col("_counts")).alias("ns")
-    )
+    known = words.select(*columns, F.col(words_col).cast("array<string>").alias("_words"))
+    schema = StructType(known.schema.fields[:-1]).add("ids", ArrayType(IntegerType())).add("ns", ArrayType(DoubleType()))
+    return known.mapInArrow(_numbered_counts(terms), schema)
 
 
 def fit_topics(
@@ -55,7 +84,8 @@ def fit_topics(
 ) -> tuple[DataFrame, DataFrame]:
     """Probabilistic topics: (rows with `share`, an array of topic shares; terms with `weight`, their topic weights).
 
-    Each round weighs every (row, term, topic) by share times weight, normalised over topics. The new shares of a
+    Each round weighs every (row, term, topic) by share times weight, normalised over topics, as `expected_counts`
+    does for one look; a round does it in numpy, an Arrow batch at a time. The new shares of a
     row come from its own terms, inside the row; only expected counts per term are shuffled, after they are
     combined per task, so a round moves at most vocabulary x tasks rows. The table of weights (vocabulary
     times topics doubles, 4 MB at the defaults) is the one thing every task gets; `vocabulary_size` bounds it.
@@ -70,8 +100,8 @@ def fit_topics(
     weights = _column_shares(terms, topics)
     docs = _with_counts(words, listed, columns, words_col)
     docs = materialize(docs.withColumn("share", F.array(*[F.lit(1.0 / topics)] * topics)), "topic-rows")
-    for _ in range(iterations):
-        docs, weights = _round(docs, weights, columns, topics)
+    for i in range(iterations):
+        docs, weights = _round(docs, weights, columns, topics, last=i == iterations - 1)
     named = weights.join(terms.select("id", "term"), "id").select("term", "weight")
     return docs.select(*columns, "share"), named
 
@@ -101,16 +131,67 @@ def expected_counts(docs: DataFrame, weights: DataFrame, columns: list[str]) ->
     return docs.withColumn("_table", table).select(*columns, "ids", "ns", "share", expected.alias("expected"))
 
 
-def _round(docs: DataFrame, weights: DataFrame, columns: list[str], topics: int) -> tuple[DataFrame, DataFrame]:
-    weighed = materialize(expected_counts(docs, weights, columns), "topic-round")
-    sums = [_expected_in(z) for z in range(topics)]
-    shares = F.when(F.size("ids") > 0, _normalised(F.array(*sums))).otherwise(F.col("share"))
-    long = weighed.select(F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("expected").alias("e"))))
-    counts = long.groupBy("id").agg(*[F.sum(_whole(F.col("e")[z])).alias(f"t{z}") for z in range(topics)])
-    counts = materialize(
-        counts.select("id", F.array(*[F.col(f"t{z}").cast("double") / UNIT for z in range(topics)]).alias("weight")), "topic-weights"
-    )
-    return weighed.select(*columns, "ids", "ns", shares.alias("share")), _column_shares(counts, topics)
+def _reweighed(weights: np.ndarray, last: bool):
+    """One round over rows (..., ids, ns, share): the rows with their new shares, then expected counts per term.
+
+    Both kinds leave by one pass; a row of either kind has NULL in the columns of the other. The last round's rows
+    come without ids and ns.
+    """
+    topics = weights.shape[1]
+
+    def normalised(values: np.ndarray) -> np.ndarray:
+        total = values.sum(axis=1, keepdims=True)
+        return np.divide(values, total, out=np.full_like(values, 1.0 / topics), where=total > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, names, sums, seen = [], [], np.zeros((topics, len(weights)), dtype=np.int64), 0.0
+
+        def counted() -> pa.RecordBatch:
+            used = np.flatnonzero(sums.any(axis=0))
+            per_term = _lists(np.full(len(used), topics), np.ascontiguousarray(sums[:, used].T).ravel())
+            others = [pa.nulls(len(used), kind) for kind in kinds]
+            return pa.RecordBatch.from_arrays([*others, pa.array(used.astype(np.int32)), per_term], names=names)
+
+        for batch in batches:
+            lengths, ids = _flat(batch.column("ids"))
+            ids, ns = ids.to_numpy(zero_copy_only=False), _flat(batch.column("ns"))[1].to_numpy(zero_copy_only=False)
+            share = _flat(batch.column("share"))[1].to_numpy(zero_copy_only=False).reshape(len(batch), topics)
+            expected = normalised(weights[ids] * np.repeat(share, lengths, axis=0)) * ns[:, None]
+            some = lengths > 0
+            new = share.copy()
+            if some.any():
+                new[some] = normalised(np.add.reduceat(expected, (np.cumsum(lengths) - lengths)[some], axis=0))
+            if seen + ns.sum() > OCCURRENCES and kinds:
+                yield counted()
+                sums[:], seen = 0, 0.0
+            seen += ns.sum()
+            whole = np.rint(expected * UNIT).astype(np.int64)
+            for z in range(topics):
+                np.add.at(sums[z], ids, whole[:, z])
+            kept = batch.drop_columns(["ids", "ns", "share"] if last else ["share"])
+            shares = _lists(np.full(len(batch), topics), new.ravel())
+            kinds, names = [*kept.schema.types, shares.type], [*kept.schema.names, "share", "_id", "_sums"]
+            none = [pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, shares, *none], names=names)
+        if kinds:
+            yield counted()
+
+    return run
+
+
+def _round(docs: DataFrame, weights: DataFrame, columns: list[str], topics: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    known = weights.toArrow()
+    ids = known.column("id").to_numpy()
+    # A row per vocabulary term, by number; a term that occurs nowhere weighs nothing.
+    table = np.zeros((int(ids.max()) + 1 if len(ids) else 0, topics))
+    table[ids] = np.array(known.column("weight").to_pylist()).reshape(len(ids), topics)
+    rows = [f for f in docs.schema.fields if f.name in columns or f.name == "share" or not last]
+    schema = StructType([*rows]).add("_id", IntegerType()).add("_sums", ArrayType(LongType()))
+    both = materialize(docs.mapInArrow(_reweighed(table, last), schema), "topic-round")
+    sums = [F.sum(F.col("_sums")[z].cast("decimal(19,0)")).cast("double") / UNIT for z in range(topics)]
+    counts = both.filter("_id IS NOT NULL").groupBy(F.col("_id").alias("id")).agg(F.array(*sums).alias("weight"))
+    docs = both.filter("_id IS NULL").select(*[f.name for f in rows])
+    return docs, _column_shares(materialize(counts, "topic-weights"), topics)
 
 
 def share_by_year(shares: DataFrame) -> DataFrame:

@@ -52,3 +52,30 @@ def test_rows_without_terms_and_empty_tables(words):
     assert len(even) == 3  # no words, NULL, and a word outside the vocabulary
     shares, weights = TP.fit_topics(words.limit(0), ["year"], topics=2, iterations=1)
     assert shares.count() == weights.count() == 0
+
+
+def test_a_round_in_batches_sums_what_the_expressions_expect(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(1, [0, 2], [2.0, 1.0], [0.25, 0.75]), (2, [], [], [0.5, 0.5]), (3, [1, 2], [1.0, 3.0], [0.9, 0.1])]
+    table = np.array([[0.2, 0.1], [0.3, 0.6], [0.5, 0.3]])
+    docs = spark.createDataFrame(rows, "year int, ids array<int>, ns array<double>, share array<double>")
+    weights = spark.createDataFrame([(i, list(map(float, w))) for i, w in enumerate(table)], "id int, weight array<double>")
+    looked = {r["year"]: np.array(r["expected"]) for r in TP.expected_counts(docs, weights, ["year"]).collect()}
+    # A task that hands on its sums after every batch gives the same totals.
+    monkeypatch.setattr(TP, "OCCURRENCES", 1)
+    batches = [b for n in range(3) for b in docs.filter(f"year = {n + 1}").toArrow().to_batches()]
+    out = [r for b in TP._reweighed(table, last=True)(iter(batches)) for r in pa.Table.from_batches([b]).to_pylist()]
+    sums = np.zeros((3, 2))
+    for r in out:
+        if r["_id"] is not None:
+            sums[r["_id"]] += np.array(r["_sums"]) / TP.UNIT
+    wanted = np.zeros((3, 2))
+    for year, ids, _, _ in rows:
+        for i, e in zip(ids, looked[year]):
+            wanted[i] += e
+    assert sums == pytest.approx(wanted, abs=1e-8)
+    shares = {r["year"]: r["share"] for r in out if r["_id"] is None}
+    assert shares[2] == [0.5, 0.5] and shares[1] == pytest.approx(looked[1].sum(axis=0) / 3)
+    assert "ids" not in out[0]
