@@ -125,3 +125,29 @@ def test_feature_frequencies_of_both_vectorizers(spark, processed):
         assert found.filter("df > 0").count() >= 11 and found.agg(F.max("df")).head()[0] == 120
         again = FT.fit_features(processed.repartition(5), **options)
         assert R.table_fingerprint(found) == R.table_fingerprint(FT.feature_frequencies(spark, again))
+
+
+def test_tables_of_the_training_path_hold_what_is_read_again(spark, sf):
+    from chronolex.plans import model_queries as M
+
+    processed = spark.read.parquet(M.stored_processed(spark, sf))
+    assert set(processed.columns) == {*M.DATA_COLUMNS, "ingestion_ts"}
+    store = spark.read.parquet(M.hashed_features(spark, sf))
+    assert not {"text", "cleaned_paragraph"} & set(store.columns) and {*M.KEY.split(", "), "label", "features"} < set(store.columns)
+    assert store.count() == processed.count()
+
+
+def test_term_profile_counts_without_a_struct_per_word(spark):
+    from chronolex.operators.terms import term_profile
+
+    words = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["a"]), (2, []), (2, None)], "k int, w array<string>")
+    profile = term_profile(words, ["k"], "w")
+    assert {tuple(r) for r in profile.collect()} == {(1, "a", 3, 2), (1, "b", 1, 1)}
+    assert "lambda" not in plan_of(profile)
+
+
+def test_topic_shares_are_stored_and_nothing_stays_in_memory(spark):
+    rows = [(1869 + i % 2, "ship harbour sail" if i % 2 else "wheat barley plough") for i in range(40)]
+    shares = FT.topic_share_by_year(spark.createDataFrame(rows, "year int, cleaned_paragraph string"), k=2, max_iter=2)
+    assert "Scan parquet" in plan_of(shares) and shares.count() == 4
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
