@@ -22,7 +22,9 @@ SEED = 42
 WIDTH = 5
 SIMILARITY = 0.8
 LANES = 48  # fingerprint bits in words of 64
-BLOCK = 22  # bits of a block
+# Bits and number of blocks up to this many nodes; `block_places` gives those of larger tables.
+BLOCK, BLOCKS, BLOCK_NODES = 22, 139, 50_000
+SHARED_BITS = 1.04  # more blocks for each further bit, which keeps the recall
 # Members of a bucket that one task compares with each other or with as many others.
 TILE = 1024
 SLICE_SHINGLES = 255  # bit counts of a slice fit in a byte
@@ -62,14 +64,39 @@ def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes))
 
 
+def differing_share(similarity: float) -> float:
+    """Mean share of differing bits: sets of equal size and Jaccard similarity s have the cosine 2s / (1 + s).
+
+    A bit differs with probability angle / pi.
+    """
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def block_places(nodes: int, similarity: float) -> np.ndarray:
+    """The bits of each block, a row per block.
+
+    Unrelated nodes meet in a block by chance, so a block of fixed width gives meetings with the square of the
+    nodes. A block therefore gets one more bit whenever nodes double, which holds the chance of a node to meet
+    any; the number of blocks grows by as much as a pair of `similarity` loses in one, and a little more, since blocks
+    share bits then. The first blocks are cut from the bits in their order, further ones from the same bits in
+    fixed random orders.
+    """
+    extra = max(0, math.ceil(math.log2(max(nodes, 1) / BLOCK_NODES)))
+    width, bits = min(BLOCK + extra, 32), 64 * LANES
+    count = math.ceil(BLOCKS * (SHARED_BITS / (1 - differing_share(similarity))) ** (width - BLOCK))
+    rng, order, found = np.random.default_rng(SEED), np.arange(bits), []
+    while len(found) < count:
+        found += list(order[: bits // width * width].reshape(-1, width))
+        order = rng.permutation(bits)
+    return np.array(found[:count])
+
+
 def distance_bounds(similarity: float) -> tuple[int, int]:
     """Differing bits up to which a pair surely has `similarity`, and beyond which it surely has not.
 
-    Two sets of equal size and Jaccard similarity s have the cosine 2s / (1 + s); a bit differs with
-    probability angle / pi. Both bounds lie DEVIATIONS standard deviations from the mean.
+    Both bounds lie DEVIATIONS standard deviations from the mean share of differing bits.
     """
-    bits = 64 * LANES
-    share = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    bits, share = 64 * LANES, differing_share(similarity)
     spread = DEVIATIONS * math.sqrt(share * (1 - share) / bits)
     return int(bits * (share - spread)), math.ceil(bits * (share + spread))
 
@@ -96,26 +123,31 @@ def _marks(width: int):
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count = 64 * LANES // BLOCK
-    weights = (1 << np.arange(BLOCK, dtype=np.int64))[:, None]
-    for batch in batches:
-        for start in range(0, len(batch), 1000):
-            part = batch.slice(start, 1000)
-            prints = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(len(part), -1)
-            bits = np.unpackbits(prints, axis=1)[:, : count * BLOCK].reshape(-1, BLOCK)
-            keys = (bits.astype(np.float32) @ weights.astype(np.float32)).astype(np.int32).ravel()
-            offsets = np.arange(len(part) + 1, dtype=np.int32) * count
-            brief = np.ascontiguousarray(prints[:, -16:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array(np.ascontiguousarray(brief[:, 0])),
-                    pa.array(np.ascontiguousarray(brief[:, 1])),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                ],
-                names=["node", "c0", "c1", "keys"],
-            )
+def _blocks(places: np.ndarray):
+    """Nodes with the value of each of their blocks, and their last 128 bits."""
+    count, width = places.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 500):
+                part = batch.slice(start, 500)
+                prints = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(len(part), -1)
+                picked = np.unpackbits(prints, axis=1)[:, places.ravel()].reshape(-1, width)
+                keys = np.zeros((len(picked), 4), dtype=np.uint8)
+                keys[:, : (width + 7) // 8] = np.packbits(picked, axis=1)
+                offsets = np.arange(len(part) + 1, dtype=np.int32) * count
+                brief = np.ascontiguousarray(prints[:, -16:]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(np.ascontiguousarray(brief[:, 0])),
+                        pa.array(np.ascontiguousarray(brief[:, 1])),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view("<i4").ravel())),
+                    ],
+                    names=["node", "c0", "c1", "keys"],
+                )
+
+    return run
 
 
 def _sliced(members: DataFrame, shared: DataFrame, tile: int) -> DataFrame:
@@ -196,18 +228,21 @@ def _shortest_links(limit: int):
     return _per_tile(body)
 
 
-def candidate_links(prints: DataFrame, limit: int, tile: int = TILE) -> DataFrame:
-    """Links (a, b, bits) between nodes whose fingerprints share a block and differ in `limit` bits at most.
+def candidate_links(prints: DataFrame, similarity: float = SIMILARITY, tile: int = TILE) -> DataFrame:
+    """Links (a, b, bits) between nodes whose fingerprints share a block and may have `similarity` by their bits.
 
-    `prints` has `node` and `print`, one row per node, no NULLs. Pairs that differ in fewer bits than there
-    are blocks surely share one. Keys held by one node end there; of the others, members whose last 128
+    `prints` has `node` and `print`, one row per node, no NULLs; it is counted first. Pairs that differ in fewer bits
+    than there are blocks in one order of the bits surely share one. Keys held by one node end there; of the others, members whose last 128
     bits are far from all others' go next (4.5 standard deviations of slack), so that chance meetings cost
     a few bytes, not a fingerprint. A bucket is compared in tiles; each gives its minimum spanning forest:
     whatever a lower limit connects stays connected, and no tile lists all its pairs. Runs actions.
     """
-    blocks = materialize(prints.select("node", "print").mapInArrow(_blocks, "node long, c0 long, c1 long, keys array<int>"), "blocks")
+    limit = distance_bounds(similarity)[1]
+    places = block_places(prints.count(), similarity)
+    blocks = prints.select("node", "print").mapInArrow(_blocks(places), "node long, c0 long, c1 long, keys array<int>")
+    blocks = materialize(blocks, "blocks")
     keyed = blocks.select("node", "c0", "c1", F.posexplode("keys").alias("place", "bits")).select(
-        "node", "c0", "c1", ((F.col("place").cast("long") * (1 << BLOCK)) + F.col("bits")).alias("key")
+        "node", "c0", "c1", ((F.col("place").cast("long") * (1 << 32)) + F.col("bits")).alias("key")
     )
     shared = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared-keys")
     share = limit / (64 * LANES)
@@ -259,7 +294,7 @@ def near_copies(
     or be NULL (never a component id, unless a component has no other). An empty table gives no rows.
     Other columns are not looked at. Runs actions.
     """
-    sure, limit = distance_bounds(similarity)
+    sure, _ = distance_bounds(similarity)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
     marked = materialize(
@@ -267,7 +302,7 @@ def near_copies(
     )
     firsts = materialize(marked.groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "near-copy-nodes")
     prints = marked.filter("print IS NOT NULL").groupBy("node").agg(F.first("print").alias("print"))
-    links = materialize(candidate_links(materialize(prints, "long-fingerprints"), limit, tile), "near-copy-links")
+    links = materialize(candidate_links(materialize(prints, "long-fingerprints"), similarity, tile), "near-copy-links")
     linked = connected_components(_checked(links, marked, similarity, sure))
     grouped = firsts.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))

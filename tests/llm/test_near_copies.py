@@ -137,3 +137,25 @@ def test_samples_with_clashing_columns(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 3).alias("toxic"), F.lit(1).alias("_id"))
     got = labelled_texts(docs, labels, "doc_id", "text", "toxic", 5, 6)
     assert len(got) == 15 and {label for _, label, _ in got} == {0, 1, 2} and all(t == f"text {i}"[:6] for i, _, t in got)
+
+
+def test_chance_meetings_grow_no_faster_than_nodes():
+    """Expected meetings of unrelated nodes, and the chance of a pair at 0.8 to share a block, at any number of nodes."""
+    share, rng = nc.differing_share(0.8), np.random.default_rng(5)
+    meetings, found = {}, {}
+    for nodes in (50_000, 200_000, 800_000):
+        places = nc.block_places(nodes, 0.8)
+        assert all(len(set(p)) == places.shape[1] for p in places)
+        meetings[nodes] = len(places) * nodes**2 / 2.0 ** places.shape[1]
+        differ = rng.random((600, 64 * nc.LANES)) < share
+        found[nodes] = np.mean([not differ[i][places].any(axis=1).all() for i in range(len(differ))])
+    assert meetings[200_000] < 8 * meetings[50_000] and meetings[800_000] < 8 * meetings[200_000]  # 16 by the square
+    assert min(found.values()) > 0.96 and nc.block_places(0, 0.8).shape == (139, 22)
+
+
+def test_same_components_with_wider_blocks(spark, monkeypatch):
+    rows = some_rows(3)
+    monkeypatch.setattr(nc, "BLOCK_NODES", 10)
+    assert nc.block_places(len(rows), 0.8).shape[1] > nc.BLOCK
+    got = {r["doc_id"]: r["component_id"] for r in nc.near_copies(table(spark, rows)).collect()}
+    assert got == brute_near_copies(rows)
