@@ -343,6 +343,8 @@ class Search:
         windows = {1: _slot_sums(self.vectors, codes, cell * CELL + places % CELL, total, CELL)}
         filled = {1: np.bincount(cell[codes >= 0], minlength=total)}
         owner = np.repeat(np.arange(len(counts)), cells)
+        # A window that begins in the blanks after a text may see the next one; it is no window of either.
+        inside = np.arange(total) < np.repeat(begin + cells - gap, cells)
         lift = (int(self.sizes.max(initial=0)) + gap * CELL) // PLACE + 1  # places that an item may begin before its text
         reach = int(cells.max(initial=0)) * CELL // PLACE + 2 * lift
         found = []
@@ -359,7 +361,7 @@ class Search:
             if scale not in self.queries:
                 continue
             queries, item, offset, bound, least = self.queries[scale]
-            all_rows = np.flatnonzero(filled[scale] >= max(1, least.min()))
+            all_rows = np.flatnonzero(inside & (filled[scale] >= max(1, least.min())))
             for start in range(0, len(all_rows), WINDOWS_AT_ONCE):
                 rows = all_rows[start : start + WINDOWS_AT_ONCE]
                 own = windows[scale][rows]

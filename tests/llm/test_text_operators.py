@@ -1,5 +1,6 @@
 """Language, toxicity, decontamination and licences: accuracy, brute force and odd tables."""
 
+import itertools
 import random
 import zlib
 
@@ -376,6 +377,20 @@ def test_bits_give_the_common_subsequence():
         assert np.allclose(got / search.sizes, [brute_share(text, row[1]) for row in rows])
 
 
+def test_no_text_is_searched_in_windows_of_the_next():
+    words = [f"w{k}" for k in range(20)]
+    items = decontaminate.Items([(7, " ".join(words), None)])
+    search = decontaminate.Search(items, np.ones((items.searched, 1), np.float32))
+    # All places of the long text are candidates; the last text is short and like the item, what stands before it is not.
+    long = " ".join((words * 13)[:250])
+    for before, last in itertools.product(("", "none of them", "a b c d e f g h"), (12, 14, 20)):
+        texts = [long, before, " ".join(words[:last])]
+        found = search.find(pa.array(texts, pa.large_string()))
+        assert found == [search.find(pa.array([t], pa.large_string()))[0] for t in texts]
+        assert [bool(f) for f in found] == [True, False, last == 20]
+        assert not (search.candidates(*items.codes(pa.array(texts, pa.large_string())))[:, 0] == 1).any()
+
+
 def test_every_document_teaches_the_latent_space(spark):
     rare = " ".join(f"rare{i}" for i in range(24))
     common = " ".join(f"word{i % 40}" for i in range(60))
